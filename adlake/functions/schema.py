@@ -38,8 +38,18 @@ def struct_from_fields(fields: Iterable[Mapping]) -> T.StructType:
     return T.StructType(built)
 
 
+def nullable_type(dtype: T.DataType) -> T.DataType:
+    """The same type with every nested part nullable, as files give it back."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable_type(f.dataType)) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(nullable_type(dtype.elementType))
+    return dtype
+
+
 def cast_to(column: Column, source: T.DataType, target: T.DataType) -> Column:
     """Cast the way the warehouse does: a fraction going to an integer is rounded."""
+    source, target = nullable_type(source), nullable_type(target)
     if source == target:
         return column
     if isinstance(target, T.IntegralType) and isinstance(source, T.FractionalType):
@@ -72,6 +82,29 @@ def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False) -> Da
     return df.select(columns)
 
 
+def _required(schema: T.StructType, path: str = "") -> list[str]:
+    found = []
+    for field in schema.fields:
+        here = f"{path}`{field.name}`"
+        if not field.nullable:
+            found.append(here)
+        if isinstance(field.dataType, T.StructType):
+            found += _required(field.dataType, here + ".")
+    return found
+
+
+def check_required(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Fail on a NULL in a REQUIRED column or a REQUIRED member of a struct."""
+    for path in _required(schema):
+        outer = path.rpartition(".")[0]
+        broken = F.col(path).isNull()
+        if outer:
+            broken = F.col(outer).isNotNull() & broken
+        message = F.lit(f"NULL in required column {path.replace('`', '')}")
+        df = df.filter(F.when(broken, F.raise_error(message).cast("boolean")).otherwise(True))
+    return df
+
+
 def after_dot_lower(name: str) -> str:
     """``Dimension.AD_UNIT`` -> ``ad_unit``."""
     return name.split(".")[1].lower()

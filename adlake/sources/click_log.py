@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adlake.functions.schema import check_required
 from adlake.sources.writers import with_day, write_parquet
 
 # Columns of the click log, partitioned by the day of ts.
@@ -37,7 +38,8 @@ def click_log_schema() -> T.StructType:
 
 def write_click_log(df: DataFrame, path: str, mode: str = "append") -> None:
     """Write clicks partitioned by day; a crowded day is split over several writers."""
-    write_parquet(with_day(df, "ts"), path, partition_by=("dt",), mode=mode)
+    rows = check_required(df, click_log_schema())
+    write_parquet(with_day(rows, "ts"), path, partition_by=("dt",), mode=mode)
 
 
 def read_click_log(

@@ -71,12 +71,16 @@ def read_reports(
         .option("escape", '"')
         .option("mode", "PERMISSIVE" if skip_bad else "FAILFAST")
         .option("columnNameOfCorruptRecord", corrupt)
+        .option("columnPruning", False)  # a row is judged by all its columns
         .csv(paths)
         .withColumn("file_name", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
     )
     if skip_bad:
-        # The row's own columns take part, or the parser would not look at them.
-        bad = rows.filter(F.col(corrupt).isNotNull()).select("file_name").distinct()
+        # One row per file. The scan must ask for a data column next to the mark.
+        verdict = rows.groupBy("file_name").agg(
+            F.max(F.col(corrupt).isNotNull()).alias("bad"), F.count(schema.names[0]).alias("n")
+        )
+        bad = verdict.filter(F.col("bad") & (F.col("n") >= 0)).select("file_name")
         rows = rows.join(bad, "file_name", "left_anti")
     return rows.drop(corrupt).join(manifest, "file_name")
 
