@@ -18,19 +18,32 @@ EXCLUDED_PRODUCTS = ("0406 - Third Party Supply", "0407 - Portal - Performance")
 KEY_PREFIX = "AS"
 
 
-def _monthly(bookings: DataFrame, amount: str, exclude: Sequence[str], year: int) -> DataFrame:
-    """Sum per product and month; only this year's months and the one before can be asked for."""
-    first, after = dt.date(year - 1, 12, 1), dt.date(year + 1, 1, 1)
-    day = F.col("booking_period_date")
-    return (
-        bookings.filter(~F.col("product_name").isin(list(exclude)))
-        .filter((day >= F.lit(first)) & (day < F.lit(after)))
-        .groupBy(
-            slug(F.col("product_name"), KEY_PREFIX).alias("product_key"),
-            month_key(day).alias("booking_month"),
-        )
-        .agg(F.sum(amount).alias(amount))
+def _monthly(
+    revenue: DataFrame, cost: DataFrame, exclude: Sequence[str], year: int,
+) -> DataFrame:
+    """Revenue and cost per product key and month, from last December on.
+
+    Both tables are stacked, each with a 0 for the other's measure, so a month
+    booked on one side only is not NULL on the other. Rows shrink to one per
+    product name and month before the name is turned into a key.
+    """
+    name, day = F.col("product_name"), F.col("booking_period_date")
+    stacked = (
+        revenue.select(name, day, "revenue").withColumn("cost", F.lit(0))
+        .unionByName(cost.select(name, day, "cost").withColumn("revenue", F.lit(0)))
     )
+    window = (day >= F.lit(dt.date(year - 1, 12, 1))) & (day < F.lit(dt.date(year + 1, 1, 1)))
+    totals = [F.sum(c).alias(c) for c in ("revenue", "cost")]
+    by_name = stacked.filter(~name.isin(list(exclude)) & window).groupBy(
+        "product_name", month_key(day).alias("booking_month")
+    ).agg(*totals)
+    key = slug(name, KEY_PREFIX).alias("product_key")
+    return by_name.groupBy(key, "booking_month").agg(*totals)
+
+
+def _products(revenue: DataFrame, exclude: Sequence[str]) -> DataFrame:
+    names = revenue.filter(~F.col("product_name").isin(list(exclude))).select("product_name").distinct()
+    return names.select(slug(F.col("product_name"), KEY_PREFIX).alias("product_key")).distinct()
 
 
 def spread_monthly(
@@ -46,18 +59,8 @@ def spread_monthly(
     and cost are judged separately; a past month without bookings stays NULL.
     Products are those the revenue table names.
     """
-    revenues = _monthly(revenue, "revenue", exclude, run_date.year)
-    costs = _monthly(cost, "cost", exclude, run_date.year)
-    # Each side brings a 0 for the other, so a month booked on one side is not NULL there.
-    both = revenues.withColumn("cost", F.lit(0)).unionByName(costs.withColumn("revenue", F.lit(0)))
-    monthly = both.groupBy("product_key", "booking_month").agg(
-        F.sum("revenue").alias("revenue"), F.sum("cost").alias("cost")
-    )
-    products = (
-        revenue.filter(~F.col("product_name").isin(list(exclude)))
-        .select(slug(F.col("product_name"), KEY_PREFIX).alias("product_key"))
-        .distinct()
-    )
+    monthly = _monthly(revenue, cost, exclude, run_date.year)
+    products = _products(revenue, exclude)
     previous = previous_month_start(run_date)
     previous_key = previous.year * 100 + previous.month
     previous_days = (month_start(run_date) - previous).days

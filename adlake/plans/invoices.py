@@ -141,9 +141,9 @@ def marketplace_payout(
     and invoices without a campaign. An invoice, campaign or recipe leading to
     two different values is an error.
     """
+    # Cents are summed as whole numbers and become units once per invoice.
     rows = child_sums(
-        invoices.select("id"), items, "id", "invoice_id",
-        {"items": F.col("price").cast("decimal(18,2)") / 100},
+        invoices.select("id"), items, "id", "invoice_id", {"cents": F.col("price")}
     )
     rows = attach_single(rows, items, "id", "invoice_id", "campaign_id", "campaign_id")
     rows = attach_single(rows, features, "campaign_id", "campaign_id", "recipe_id", "recipe_id")
@@ -151,7 +151,7 @@ def marketplace_payout(
     rows = attach_single(
         rows, provisions, "campaign_id", "campaign_id", "influencer_provision", "provision"
     )
-    items_total = F.col("items")
+    items_total = F.col("cents").cast("decimal(20,0)") / 100
     provision = to_money(items_total * F.col("provision").cast("decimal(12,4)") / 100)
     paid = F.col("campaign_id").isNotNull() & (F.col("recipe") != UNPAID_RECIPE)
     return rows.select(
@@ -163,20 +163,21 @@ def marketplace_payout(
 
 def agency_payout(invoices: DataFrame, influencers: DataFrame) -> DataFrame:
     """Influencer and talent payout per agency invoice, from its influencer lines."""
-    price = F.col("price").cast("decimal(18,4)")
-    with_fee = price * F.col("service_fee_enabled")
+    # Shares and percentages are linear, so they are applied to the sums.
+    price = F.col("price").cast("decimal(12,2)")
+    flag = F.col("service_fee_enabled")
     rows = child_sums(
         invoices.select("id"), influencers, "id", "item_id",
         {
-            "__price": price,
-            "__with_fee": with_fee,
-            "__fee": with_fee * rate(SERVICE_FEE),
-            "__management": price * F.col("management_fee").cast("decimal(9,4)") / 100,
+            "price": price,
+            "with_fee": F.when(flag == 1, price).when(flag == 0, F.lit(0)),
+            "percents": price * F.col("management_fee").cast("decimal(5,2)"),
         },
         default=F.lit(0),
     )
-    influencer = to_money(F.col("__with_fee") - F.col("__fee"))
-    talent = to_money(F.col("__price") - F.col("__with_fee") - F.col("__management"))
+    with_fee = F.col("with_fee")
+    influencer = to_money(with_fee - with_fee * rate(SERVICE_FEE))
+    talent = to_money(F.col("price") - with_fee - F.col("percents") / 100)
     return rows.select(
         "id",
         influencer.cast("double").alias("influencer_payout"),

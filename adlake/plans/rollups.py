@@ -7,9 +7,11 @@ direct_costs. Amounts may be decimals (exact) or doubles; results are doubles.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from adlake.functions.dates import (
     date_keys, date_range, day_key, local_date, local_day_filter, month_key,
 )
-from adlake.functions.scalars import decode, rate, rounded, sum_filled, sum_or_zero
+from adlake.functions.scalars import decode, rate, rounded
 
 REPORT_KEYS = ["year", "month", "day", "value_at", "product_key"]
 REPORT_COLUMNS = [*REPORT_KEYS, "revenues", "direct_costs"]
@@ -128,95 +130,137 @@ def _local_keys(tz: str, utc_month_in_day: bool) -> list[Column]:
     ]
 
 
+@dataclass(frozen=True)
+class LocalRule:
+    """What one local-day rollup takes from a fact row.
+
+    ``where`` picks the rows, ``any_of`` names the measures of which one must be
+    present, ``revenue`` and ``cost`` are per-row amounts that are summed. A
+    NULL amount is skipped; fill it to make an all-NULL group 0.
+    """
+
+    where: Column
+    product_key: Column
+    revenue: Column
+    cost: Column
+    any_of: Sequence[str]
+
+    def applies(self) -> Column:
+        return self.where & reduce(or_, [F.col(c).isNotNull() for c in self.any_of])
+
+
 def local_day_rollup(
-    fact: DataFrame, instance: str, run_date: dt.date, product_key: Column, revenues: Column,
-    direct_costs: Column, any_of: Sequence[str], where: Column | None = None,
-    tz: str = "Europe/Berlin", utc_month_in_day: bool = True,
+    fact: DataFrame, run_date: dt.date, rules: Sequence[LocalRule], tz: str = "Europe/Berlin",
+    utc_month_in_day: bool = True,
 ) -> DataFrame:
-    """Aggregate one instance's facts of one local day by product key.
+    """Revenue and cost per product key of one local day.
 
-    ``revenues`` and ``direct_costs`` are aggregates; rows whose ``any_of``
-    measures are all NULL do not take part.
+    Several rules share one scan and one shuffle; a row counts for the first
+    rule that applies to it.
     """
-    measured = F.coalesce(*[F.col(c).cast("double") for c in any_of]).isNotNull()
-    rows = fact.filter(F.col("instance") == instance)
-    rows = rows.filter(local_day_filter(F.col("timestamp"), tz, run_date)).filter(measured)
-    if where is not None:
-        rows = rows.filter(where)
+    def chosen(pick: Callable[[LocalRule], Column]) -> Column:
+        branches = F  # F.when(..), then .when(..) on the result
+        for rule in rules:
+            branches = branches.when(rule.applies(), pick(rule))
+        return branches
+
+    rows = fact.filter(
+        local_day_filter(F.col("timestamp"), tz, run_date)
+        & reduce(or_, [rule.applies() for rule in rules])
+    )
     return (
-        rows.groupBy(*_local_keys(tz, utc_month_in_day), product_key.alias("product_key"))
+        rows.groupBy(
+            *_local_keys(tz, utc_month_in_day),
+            chosen(lambda r: r.product_key).alias("product_key"),
+        )
         .agg(
-            revenues.cast("double").alias("revenues"),
-            direct_costs.cast("double").alias("direct_costs"),
+            F.sum(chosen(lambda r: r.revenue)).cast("double").alias("revenues"),
+            F.sum(chosen(lambda r: r.cost)).cast("double").alias("direct_costs"),
         )
         .select(REPORT_COLUMNS)
     )
 
 
 ANY_AMOUNT = ("raw_revenue_amount_eur", "gec_eur", "net_amount_eur", "publisher_cost_eur")
+ANY_RAW = ("raw_revenue_amount_eur", "publisher_cost_eur")
 
 
-def local_day_core(
-    fact: DataFrame, run_date: dt.date, instance: str = "core",
-    excluded: Sequence[int] = tuple(REVSHARE_RATES), prefix: str = CORE_KEY_PREFIX, **options,
-) -> DataFrame:
+def _filled(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(0))
+
+
+def core_rule(
+    instance: str = "core", excluded: Sequence[int] = tuple(REVSHARE_RATES),
+    prefix: str = CORE_KEY_PREFIX,
+) -> LocalRule:
     """Net revenue and publisher cost per country, without revenue-share partners."""
-    return local_day_rollup(
-        fact, instance, run_date,
+    return LocalRule(
+        where=(F.col("instance") == instance)
+        & ~F.coalesce(F.col("pid"), F.lit(-1)).isin(list(excluded)),
         product_key=F.concat(F.lit(prefix), F.replace(F.col("country"), F.lit("GB"), F.lit("UK"))),
-        revenues=sum_filled(F.col("net_amount_eur")),
-        direct_costs=sum_filled(F.col("publisher_cost_eur")),
+        revenue=_filled("net_amount_eur"),
+        cost=_filled("publisher_cost_eur"),
         any_of=ANY_AMOUNT,
-        where=~F.coalesce(F.col("pid"), F.lit(-1)).isin(list(excluded)),
-        **options,
     )
 
 
-def revshare_cost(
-    fact: DataFrame, run_date: dt.date, rates: Mapping[int, Decimal] = REVSHARE_RATES,
-    instance: str = "core", product_key: str = REVSHARE_KEY, **options,
-) -> DataFrame:
+def revshare_rule(
+    rates: Mapping[int, Decimal] = REVSHARE_RATES, instance: str = "core",
+    product_key: str = REVSHARE_KEY,
+) -> LocalRule:
     """Revenue-share partners: cost is their share of the revenue plus booked publisher cost."""
     partner = F.coalesce(F.col("pid"), F.lit(-1))
-    net = F.coalesce(F.col("net_amount_eur"), F.lit(0))
     share = decode(partner, {p: Decimal(r) for p, r in rates.items()}, Decimal("1"))
-    return local_day_rollup(
-        fact, instance, run_date,
+    return LocalRule(
+        where=(F.col("instance") == instance) & partner.isin(list(rates)),
         product_key=F.lit(product_key),
-        revenues=F.sum(net),
-        direct_costs=F.sum(net * share) + sum_or_zero(F.col("publisher_cost_eur")),
+        revenue=_filled("net_amount_eur"),
+        cost=_filled("net_amount_eur") * share + _filled("publisher_cost_eur"),
         any_of=ANY_AMOUNT,
-        where=partner.isin(list(rates)),
-        **options,
     )
 
 
-def instance_rollup(
-    fact: DataFrame, run_date: dt.date, instance: str, product_key: str, **options,
-) -> DataFrame:
+def instance_rule(instance: str, product_key: str) -> LocalRule:
     """One instance in total; an all-NULL measure stays NULL."""
-    return local_day_rollup(
-        fact, instance, run_date,
+    return LocalRule(
+        where=F.col("instance") == instance,
         product_key=F.lit(product_key),
-        revenues=F.sum("raw_revenue_amount_eur"),
-        direct_costs=F.sum("publisher_cost_eur"),
-        any_of=("raw_revenue_amount_eur", "publisher_cost_eur"),
-        **options,
+        revenue=F.col("raw_revenue_amount_eur"),
+        cost=F.col("publisher_cost_eur"),
+        any_of=ANY_RAW,
     )
 
 
-def classify_partner(
-    fact: DataFrame, run_date: dt.date, instance: str,
-    listed: Sequence[int] = OWN_SUPPLY_PARTNERS, listed_key: str = OWN_SUPPLY_KEY,
-    other_key: str = THIRD_PARTY_SUPPLY_KEY, **options,
-) -> DataFrame:
+def partner_rule(
+    instance: str, listed: Sequence[int] = OWN_SUPPLY_PARTNERS, listed_key: str = OWN_SUPPLY_KEY,
+    other_key: str = THIRD_PARTY_SUPPLY_KEY,
+) -> LocalRule:
     """One instance split in two product keys by a partner list (NULL partner: listed key)."""
     partner = F.coalesce(F.col("pid"), F.col("partner_id"))
-    return local_day_rollup(
-        fact, instance, run_date,
+    return LocalRule(
+        where=F.col("instance") == instance,
         product_key=F.when(~partner.isin(list(listed)), other_key).otherwise(listed_key),
-        revenues=sum_filled(F.col("raw_revenue_amount_eur")),
-        direct_costs=sum_filled(F.col("publisher_cost_eur")),
-        any_of=("raw_revenue_amount_eur", "publisher_cost_eur"),
-        **options,
+        revenue=_filled("raw_revenue_amount_eur"),
+        cost=_filled("publisher_cost_eur"),
+        any_of=ANY_RAW,
     )
+
+
+def local_day_core(fact: DataFrame, run_date: dt.date, **options) -> DataFrame:
+    """``core_rule`` alone."""
+    return local_day_rollup(fact, run_date, [core_rule(**options)])
+
+
+def revshare_cost(fact: DataFrame, run_date: dt.date, **options) -> DataFrame:
+    """``revshare_rule`` alone."""
+    return local_day_rollup(fact, run_date, [revshare_rule(**options)])
+
+
+def instance_rollup(fact: DataFrame, run_date: dt.date, instance: str, product_key: str) -> DataFrame:
+    """``instance_rule`` alone."""
+    return local_day_rollup(fact, run_date, [instance_rule(instance, product_key)])
+
+
+def classify_partner(fact: DataFrame, run_date: dt.date, instance: str, **options) -> DataFrame:
+    """``partner_rule`` alone."""
+    return local_day_rollup(fact, run_date, [partner_rule(instance, **options)])

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlake.functions.dates import date_keys
+from adlake.functions.schema import conform
 from adlake.operators.merge import merge
 from adlake.plans import bookings, daily_stats as DS, exports, invoices, marts, report, rollups
 from adlake.plans.contracts import CONTRACTS
@@ -77,8 +79,6 @@ def daily_stats_merged(t: Tables) -> DataFrame:
     contract = CONTRACTS["daily_stats"]
     keys = [F.to_date("partition_time").alias("date"), *DS.KEYS[1:]]
     clicks = t.clicks_v.groupBy(*keys).agg(F.count(F.lit(1)).alias("clicks"))
-    from adlake.functions.schema import conform
-
     live = conform(clicks.withColumn("tracker", F.lit("OLD")), contract.table_schema())
     fresh = DS.daily_stats(t.clicks_v, t.conversions_v, STATS_RUN, combine=True)
     return merge(live, fresh, contract.spec())
@@ -89,14 +89,13 @@ REPORT_COLUMNS_SQL = """CAST(strftime({d}, '%Y') AS BIGINT) AS year, CAST(strfti
 
 OWNER_SHARE = f"""
     SELECT {REPORT_COLUMNS_SQL.format(d='date')}, CONCAT('MK-yt-', content_owner_id) AS product_key,
-           CAST(round(CAST(SUM(CASE WHEN content_owner_id = 'DIYrC9g4HIz_T7EJuEZ7YA' THEN estimated_partner_revenue
-                ELSE estimated_youtube_ad_revenue END) AS DECIMAL(18,4)) * 0.8411490095470413, 2) AS DOUBLE) AS revenues,
-           CAST(round(CAST(SUM(CASE
+           round(SUM(CASE WHEN content_owner_id = 'DIYrC9g4HIz_T7EJuEZ7YA' THEN estimated_partner_revenue
+                ELSE estimated_youtube_ad_revenue END) * 0.8411490095470413, 2) AS revenues,
+           round(SUM(CASE
                 WHEN content_owner_id IN ('T6YRWhYberPdRbf3Z5rbQ', 'YO9H9-o4YqlpjXtmY4dUZA', 'FQX78HL5L6oCjJd3ejmFYw')
                     THEN estimated_youtube_ad_revenue - estimated_partner_revenue
                 WHEN content_owner_id = 'DIYrC9g4HIz_T7EJuEZ7YA' THEN estimated_partner_revenue * 0.18
-                ELSE estimated_youtube_ad_revenue * 0.9 END) AS DECIMAL(18,6)) * 0.8411490095470413, 2) AS DOUBLE)
-                AS direct_costs
+                ELSE estimated_youtube_ad_revenue * 0.9 END) * 0.8411490095470413, 2) AS direct_costs
     FROM videos WHERE date BETWEEN DATE '2024-01-08' AND DATE '2024-01-16' GROUP BY content_owner_id, date"""
 
 
@@ -357,16 +356,14 @@ def daily_report(t: Tables) -> DataFrame:
     parts = [
         rollups.owner_revenue_share(t.videos, FACT_RUN),
         rollups.fx_discount_total(t.conversions_v, FACT_RUN),
-        rollups.local_day_core(t.fact, FACT_RUN),
-        rollups.revshare_cost(t.fact, FACT_RUN),
-        rollups.instance_rollup(t.fact, FACT_RUN, "performance", "MED-perfmkt"),
-        rollups.classify_partner(t.fact, FACT_RUN, "portal"),
+        rollups.local_day_rollup(t.fact, FACT_RUN, [
+            rollups.core_rule(), rollups.revshare_rule(),
+            rollups.instance_rule("performance", "MED-perfmkt"), rollups.partner_rule("portal"),
+        ]),
         invoices.allocate_marketplace(t.invoices, FACT_RUN),
         invoices.allocate_agency(t.invoicing, t.cancellations, FACT_RUN),
         bookings.spread_monthly(t.bookings_revenue, t.bookings_cost, INVOICE_RUN),
     ]
-    from adlake.functions.dates import date_keys
-
     existing = t.videos.select(
         *date_keys(F.col("date")),
         F.concat(F.lit(rollups.VIDEO_KEY_PREFIX), "content_owner_id").alias("product_key"),
