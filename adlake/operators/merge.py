@@ -131,7 +131,9 @@ def updated_rows(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataF
         partner, _match(target, list(spec.on), partner, key_names, spec.null_safe), "left"
     )
     if spec.on_multi_match == "error":
-        several = F.col("__n") > 1
+        # Duplicates without a partner are no error, so the check must stay above the
+        # join; the optimizer never moves a predicate that is not deterministic.
+        several = (F.col("__n") > 1) & (F.spark_partition_id() >= 0)
         message = F.lit("MERGE: several source rows match one target row")
         joined = joined.filter(F.when(several, F.raise_error(message).cast("boolean")).otherwise(True))
     return joined.select(

@@ -74,34 +74,26 @@ def child_sums(
     return joined.withColumns({name: F.coalesce(F.col(name), default) for name in sums})
 
 
-def single_value(child: DataFrame, key: str, value: str | Column, name: str) -> DataFrame:
-    """``(SELECT DISTINCT value ... WHERE key = ..)`` as a (key, name) frame.
+def attach_single(
+    parent: DataFrame, child: DataFrame, parent_key: str, child_key: str,
+    value: str | Column, name: str,
+) -> DataFrame:
+    """Add ``(SELECT DISTINCT value FROM child WHERE child.key = parent.key)`` as a column.
 
-    More than one distinct value (NULL counts as one) is an error when the
-    row is used, as it is for a scalar subquery. Only min, max and two flags
-    travel per key, however many rows a key has.
+    No child row gives NULL; several distinct values (NULL counts as one) are an
+    error, but only for parents that exist. Per key no more than the lowest and
+    highest value and a NULL mark travel, however many rows the key has.
     """
     expr = F.col(value) if isinstance(value, str) else value
-    stats = child.groupBy(key).agg(
+    stats = child.groupBy(F.col(child_key).alias("__scalar_key")).agg(
         F.min(expr).alias("__low"),
         F.max(expr).alias("__high"),
         F.max(expr.isNull()).alias("__has_null"),
     )
+    joined = parent.join(stats, F.col(parent_key) == F.col("__scalar_key"), "left")
     several = (F.col("__low") != F.col("__high")) | (
         F.col("__has_null") & F.col("__low").isNotNull()
     )
-    return stats.select(
-        key,
-        F.when(several, F.raise_error(F.lit(f"more than one value of {name} for one {key}")))
-        .otherwise(F.col("__low"))
-        .alias(name),
-    )
-
-
-def attach_single(
-    parent: DataFrame, child: DataFrame, parent_key: str, child_key: str,
-    value: str | Column, name: str,
-) -> DataFrame:
-    """Add the one distinct child value to each parent row (NULL when there is none)."""
-    scalar = single_value(child, child_key, value, name).withColumnRenamed(child_key, "__scalar_key")
-    return parent.join(scalar, F.col(parent_key) == F.col("__scalar_key"), "left").drop("__scalar_key")
+    problem = F.raise_error(F.lit(f"more than one {name} for one {parent_key}"))
+    kept = [parent[f"`{c}`"] for c in parent.columns if c != name]
+    return joined.select(*kept, F.when(several, problem).otherwise(F.col("__low")).alias(name))

@@ -19,16 +19,31 @@ RUNTIME_DEFAULTS = {
 _test_scratch: str | None = None
 
 
+def shuffle_partitions(input_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Shuffle partitions to begin with, so that one fits in memory; AQE merges small ones."""
+    return max(200, input_bytes // target_bytes)
+
+
 def build_session(
     app: str = "adlake",
     master: str | None = None,
     conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
-    """A session with the engine's defaults; ``conf`` wins over them."""
+    """A session with the engine's defaults; ``conf`` wins over them.
+
+    State ``input_bytes`` (an upper bound of what one job shuffles) for large
+    runs: the default number of shuffle partitions is far too small for them.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_DEFAULTS, **(conf or {})}.items():
+    sized = {}
+    if input_bytes:
+        sized["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
+            shuffle_partitions(input_bytes)
+        )
+    for key, value in {**RUNTIME_DEFAULTS, **sized, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
