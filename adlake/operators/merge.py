@@ -6,7 +6,8 @@
   anti joins can. So matched rows come from ``target LEFT JOIN source`` and new
   rows from ``source LEFT ANTI target``;
 * the side a join cannot split is reduced to one row per key beforehand, with
-  partial aggregation on the map side.
+  partial aggregation on the map side, and joined so that adaptive execution
+  can still split the other side (``join_reduced``).
 
 The source is read more than once; stage one that is expensive to compute
 (``adlake.sources.writers.stage``), as the daily report does.
@@ -19,8 +20,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import and_
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake.functions.schema import cast_to
+from adlake.operators.relational import join_reduced, members
 
 Expr = str | Column
 
@@ -70,14 +70,6 @@ def _evaluate(
     return [cast_to(c, actual[n].dataType, types[n]).alias(n) for n, c in plain.items()]
 
 
-def _match(
-    left: DataFrame, left_keys: Sequence[str], right: DataFrame, right_keys: Sequence[str],
-    null_safe: bool,
-) -> Column:
-    pairs = [(left[f"`{a}`"], right[f"`{b}`"]) for a, b in zip(left_keys, right_keys)]
-    return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
-
-
 def _insert_map(target: DataFrame, source: DataFrame, spec: MergeSpec) -> dict[str, Expr]:
     if spec.insert == "row":
         return {c: spec.keys.get(c, c) for c in target.columns}
@@ -95,13 +87,11 @@ def new_rows(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame
     wanted = keyed.select([F.col(s).alias(f"__w{s}") for s in source_keys])
     if not spec.null_safe:
         known, wanted = known.dropna(), wanted.dropna()
-    wanted = wanted.distinct()
-    # A small source is broadcast here, and only the keys it asks for are shuffled.
-    asked = _match(known, key_names, wanted, wanted.columns, spec.null_safe)
-    known = known.join(wanted, asked, "left_semi").distinct()
-    fresh = keyed.join(
-        known, _match(keyed, source_keys, known, key_names, spec.null_safe), "left_anti"
-    )
+    # Two steps: only target keys the source asks for are kept, then looked up. A small
+    # source is broadcast in the first, and the target's other keys are not shuffled.
+    asked = dict(zip(key_names, wanted.columns))
+    known = join_reduced(known, wanted.distinct(), asked, "left_semi", spec.null_safe).distinct()
+    fresh = join_reduced(keyed, known, dict(zip(source_keys, key_names)), "left_anti", spec.null_safe)
     inserts = _insert_map(target, source, spec)
     filled = {n: inserts[n] for n in target.columns if n in inserts}
     # Expressions refer to source columns, all of which survive the anti join.
@@ -127,9 +117,7 @@ def updated_rows(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataF
         F.count(F.lit(1)).alias("__n"),
         *[F.first(f"__new_{n}").alias(f"__new_{n}") for n in assignments],
     )
-    joined = target.join(
-        partner, _match(target, list(spec.on), partner, key_names, spec.null_safe), "left"
-    )
+    joined = join_reduced(target, partner, dict(zip(spec.on, key_names)), "left", spec.null_safe)
     if spec.on_multi_match == "error":
         # Duplicates without a partner are no error, so the check must stay above the
         # join; the optimizer never moves a predicate that is not deterministic.
@@ -139,9 +127,9 @@ def updated_rows(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataF
     return joined.select(
         [
             (
-                F.when(F.col("__n").isNotNull(), F.col(f"`__new_{c}`")).otherwise(target[f"`{c}`"])
+                F.when(F.col("__n").isNotNull(), F.col(f"`__new_{c}`")).otherwise(F.col(f"`{c}`"))
                 if c in assignments
-                else target[f"`{c}`"]
+                else F.col(f"`{c}`")
             ).alias(c)
             for c in target.columns
         ]
@@ -216,7 +204,7 @@ def merge_into_partitions(
     if len(listed) <= MAX_LISTED_PARTITIONS:
         affected = target.filter(F.col(partition).isin([r[0] for r in listed if r[0] is not None]))
     else:
-        affected = target.join(touched, partition, "left_semi")
+        affected = members(target, touched, partition)
     if spec.update:
         rows = merge(affected, source, spec)
         writer = rows.hint("rebalance", partition).write.mode("overwrite")

@@ -3,18 +3,57 @@
 Join sides are never forced to broadcast: Spark broadcasts a side only when its
 measured size is below the session threshold. The side that may hold a hot key
 is always the left one of a left/semi/anti join, which adaptive execution can
-split; child rows are aggregated (map side first) before they are joined.
+split; the other side is reduced to one row per key, map side first, before it
+is joined (``join_reduced``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Values of the extra join column of ``join_reduced``.
+BUCKETS = 4096
+
+
+def _bucket(columns: Sequence[Column]) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS))
+
+
+def join_reduced(
+    left: DataFrame, right: DataFrame, keys: Mapping[str, str], how: str, null_safe: bool = False,
+) -> DataFrame:
+    """Join ``left``, which may hold hot keys, with a side that has one row per key.
+
+    ``keys`` maps left to right key columns; right columns must not be named
+    like left ones and stay in the result of a left join. A hash of the keys is
+    an additional join column on both sides. It serves two ends:
+
+    * ``right`` usually comes out of an aggregation on its keys. The additional
+      column gives the join an exchange of its own on that side, and adaptive
+      execution splits a hot left partition only if both sides have one;
+    * left rows with a NULL key have no partner, so theirs may be a hash of the
+      whole row, which spreads them over the tasks.
+    """
+    left_keys, right_keys = [F.col(f"`{k}`") for k in keys], [F.col(f"`{k}`") for k in keys.values()]
+    bucket = _bucket(left_keys)
+    if not null_safe:
+        whole = [F.col(f"`{f.name}`") for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+        no_partner = reduce(or_, [k.isNull() for k in left_keys])
+        bucket = F.when(no_partner, _bucket(whole)).otherwise(bucket)
+    a = left.withColumn("__left_bucket", bucket)
+    b = right.withColumn("__right_bucket", _bucket(right_keys))
+    tests = [a[f"`{x}`"].eqNullSafe(b[f"`{y}`"]) if null_safe else a[f"`{x}`"] == b[f"`{y}`"]
+             for x, y in keys.items()]
+    condition = reduce(and_, tests, F.col("__left_bucket") == F.col("__right_bucket"))
+    return a.join(b, condition, how).drop("__left_bucket", "__right_bucket")
+
+
 def union_all(*frames: DataFrame) -> DataFrame:
     """Stack frames by column name; a column a frame lacks becomes NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -42,7 +81,8 @@ def left_join_using(left: DataFrame, right: DataFrame, keys: str | Sequence[str]
 
 def members(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose key occurs in ``keys`` (semi join)."""
-    return df.join(keys.select(key).distinct(), key, "left_semi")
+    known = keys.select(F.col(key).alias("__member")).distinct()
+    return join_reduced(df, known, {key: "__member"}, "left_semi")
 
 
 def recent_only(
@@ -56,8 +96,8 @@ def recent_only(
 
 def without(df: DataFrame, other: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """NOT EXISTS on one key; restrict ``other`` by its own predicates beforehand."""
-    blocked = other.select(F.col(right_key).alias(left_key)).distinct()
-    return df.join(blocked, left_key, "left_anti")
+    blocked = other.select(F.col(right_key).alias("__blocked")).distinct()
+    return join_reduced(df, blocked, {left_key: "__blocked"}, "left_anti")
 
 
 def child_sums(
@@ -68,7 +108,7 @@ def child_sums(
     totals = child.groupBy(F.col(child_key).alias("__child_key")).agg(
         *[F.sum(expr).alias(name) for name, expr in sums.items()]
     )
-    joined = parent.join(totals, F.col(parent_key) == F.col("__child_key"), "left").drop("__child_key")
+    joined = join_reduced(parent, totals, {parent_key: "__child_key"}, "left").drop("__child_key")
     if default is None:
         return joined
     return joined.withColumns({name: F.coalesce(F.col(name), default) for name in sums})
@@ -90,10 +130,10 @@ def attach_single(
         F.max(expr).alias("__high"),
         F.max(expr.isNull()).alias("__has_null"),
     )
-    joined = parent.join(stats, F.col(parent_key) == F.col("__scalar_key"), "left")
+    joined = join_reduced(parent, stats, {parent_key: "__scalar_key"}, "left")
     several = (F.col("__low") != F.col("__high")) | (
         F.col("__has_null") & F.col("__low").isNotNull()
     )
     problem = F.raise_error(F.lit(f"more than one {name} for one {parent_key}"))
-    kept = [parent[f"`{c}`"] for c in parent.columns if c != name]
+    kept = [F.col(f"`{c}`") for c in parent.columns if c != name]
     return joined.select(*kept, F.when(several, problem).otherwise(F.col("__low")).alias(name))

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from adlake.functions.dates import interval_hours, local_deadline
 from adlake.functions.scalars import decode, split_list
 from adlake.operators.merge import insert_if_absent
+from adlake.operators.relational import join_reduced
 
 TASK_COLUMNS = (
     """id BIGINT, advertiser_id BIGINT, publisher_id BIGINT, offer_id BIGINT, tsp BIGINT,
@@ -96,15 +97,13 @@ def digest(tasks: DataFrame, now: dt.datetime, tz: str = MAIL_ZONE) -> DataFrame
     headers = lines.groupBy(
         F.col("change_type").alias("__type"), F.col("publisher_id").alias("__publisher")
     ).agg(first.alias("__first"), F.count(F.lit(1)).alias("mail_lines"))
-    same_mail = F.col("change_type").eqNullSafe(F.col("__type")) & F.col("publisher_id").eqNullSafe(
-        F.col("__publisher")
-    )
-    return lines.join(headers, same_mail).select(
+    mail = {"change_type": "__type", "publisher_id": "__publisher"}
+    return join_reduced(lines, headers, mail, "inner", null_safe=True).select(
         "change_type",
         "publisher_id",
-        "__first.email_to",
-        "__first.email_cc",
-        "__first.email_bcc",
+        F.col("__first.email_to").alias("email_to"),
+        F.col("__first.email_cc").alias("email_cc"),
+        F.col("__first.email_bcc").alias("email_bcc"),
         local_deadline(now, F.col("__first.delay_hours"), tz).alias("deadline"),
         F.coalesce(F.col("change_type").isin(list(BLOCK_EVENTS)), F.lit(False)).alias("has_content"),
         "mail_lines",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake.functions.dates import date_range
+from adlake.operators.relational import join_reduced, without
 
 
 def read_csv(
@@ -59,8 +60,8 @@ def read_reports(
 ) -> DataFrame:
     """Union of report files with the lineage columns of their manifest row.
 
-    ``manifest`` has ``file_name`` (last part of the path) and the lineage
-    columns. A report with any unreadable row is left out as a whole, or fails
+    ``manifest`` has one row per file: ``file_name`` (last part of the path) and
+    the lineage columns. A report with any unreadable row is left out as a whole, or fails
     the read when ``skip_bad`` is off.
     """
     corrupt = "__corrupt"
@@ -81,9 +82,10 @@ def read_reports(
             F.max(F.col(corrupt).isNotNull()).alias("bad"),
             F.max(F.xxhash64(*schema.names)).alias("seen"),
         )
-        bad = verdict.filter(F.col("bad") & F.col("seen").isNotNull()).select("file_name")
-        rows = rows.join(bad, "file_name", "left_anti")
-    return rows.drop(corrupt).join(manifest, "file_name")
+        bad = verdict.filter(F.col("bad") & F.col("seen").isNotNull())
+        manifest = without(manifest, bad, "file_name", "file_name")
+    kept = manifest.withColumnRenamed("file_name", "__file")
+    return join_reduced(rows.drop(corrupt), kept, {"file_name": "__file"}, "inner").drop("__file")
 
 
 def partition_window(
