@@ -52,7 +52,12 @@ def cast_to(column: Column, source: T.DataType, target: T.DataType) -> Column:
     source, target = nullable_type(source), nullable_type(target)
     if source == target:
         return column
-    if isinstance(target, T.IntegralType) and isinstance(source, T.FractionalType):
+    if isinstance(target, T.IntegralType) and isinstance(source, (T.DoubleType, T.FloatType)):
+        # Half away from zero without a detour over decimals: rint sends ties to even.
+        near = F.rint(column)
+        tie = F.abs(column - near) == 0.5
+        return F.when(tie, column + F.signum(column) * 0.5).otherwise(near).cast(target)
+    if isinstance(target, T.IntegralType) and isinstance(source, T.DecimalType):
         return F.round(column).cast(target)
     return column.cast(target)
 

@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -144,6 +146,34 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
     return base.unionByName(new_rows(target, source, spec))
 
 
+def merge_into_table(source: DataFrame, name: str, spec: MergeSpec) -> None:
+    """The same MERGE as a statement, for catalogs whose tables support row-level changes.
+
+    There the table format finds the touched files; a plain Parquet table
+    rejects the statement.
+    """
+    target = source.sparkSession.table(name)
+    types = {f.name: f.dataType for f in target.schema.fields}
+    keys = {k: spec.keys.get(k, k) for k in spec.on}
+    updates, inserts = dict(spec.update or {}), _insert_map(target, source, spec)
+    roles = {"__key_": keys, "__new_": updates, "__ins_": inserts}
+    rows = source.select(
+        [
+            value.alias(prefix + column)
+            for prefix, exprs in roles.items()
+            for column, value in zip(exprs, _evaluate(source, exprs, types))
+        ]
+    )
+    tests = [(F.col(f"{name}.{k}"), F.col(f"`__key_{k}`")) for k in spec.on]
+    condition = reduce(and_, [a.eqNullSafe(b) if spec.null_safe else a == b for a, b in tests])
+    writer = rows.mergeInto(name, condition)
+    if updates:
+        writer = writer.whenMatched().update({c: F.col(f"`__new_{c}`") for c in updates})
+    if inserts:
+        writer = writer.whenNotMatched().insert({c: F.col(f"`__ins_{c}`") for c in inserts})
+    writer.merge()
+
+
 def insert_if_absent(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Append source rows whose key the target does not have yet, one per key."""
     return target.unionByName(absent_rows(target, source, key))

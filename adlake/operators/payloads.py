@@ -42,6 +42,12 @@ def explode_records(df: DataFrame, path: str, **constants: Any) -> DataFrame:
     return rows.select("__record.*", *[F.lit(v).alias(k) for k, v in constants.items()])
 
 
+def _zip_map(names: Column, values: Column) -> Column:
+    """Map from two lists, paired up to the shorter one; the last of equal names wins."""
+    n = F.greatest(F.least(F.size(names), F.size(values)), F.lit(0))
+    return F.map_from_arrays(F.slice(names, F.lit(1), n), F.slice(values, F.lit(1), n))
+
+
 def zip_headers_cells(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """``{headers:[{name}], rows:[{cells:[{value}]}]}`` -> one column per header.
 
@@ -50,7 +56,7 @@ def zip_headers_cells(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     names = F.transform("headers", lambda h: F.lower(h["name"])).alias("__names")
     cells = df.select(names, F.explode("rows").alias("__row"))
     values = F.transform(F.col("__row")["cells"], lambda c: c["value"])
-    by_name = cells.select(F.map_from_arrays("__names", values).alias("__cells"))
+    by_name = cells.select(_zip_map(F.col("__names"), values).alias("__cells"))
     return by_name.select([F.try_element_at("__cells", F.lit(f)).alias(f) for f in fields])
 
 
@@ -73,23 +79,16 @@ def dim_metric_report(
             F.explode("__report.data.rows").alias("__row"),
         )
     )
-    # Lists are paired up to the shorter one.
-    paired = F.arrays_zip(
-        F.transform("__entries", lambda e: e["name"]).alias("name"),
-        F.transform("__entries", lambda e: e["type"]).alias("type"),
-        F.get(F.col("__row.metrics"), F.lit(0))["values"].alias("value"),
-    )
-    shorter = F.least(
-        F.size("__entries"), F.size(F.get(F.col("__row.metrics"), F.lit(0))["values"])
-    )
-    kept = F.filter(
-        F.slice(paired, F.lit(1), F.greatest(shorter, F.lit(0))),
-        lambda m: m["type"].isin("INTEGER", "FLOAT"),
+    # An entry is kept as (type, value) until its type is known to be wanted.
+    values = F.get(F.col("__row.metrics"), F.lit(0))["values"]
+    typed = F.zip_with(
+        F.transform("__entries", lambda e: e["type"]), values,
+        lambda kind, text: F.when(kind.isin("INTEGER", "FLOAT"), text),
     )
     maps = rows.select(
         view_id,
-        F.map_from_arrays("__dims", F.col("__row.dimensions")).alias("__d"),
-        F.map_from_entries(F.transform(kept, lambda m: F.struct(m["name"], m["value"]))).alias("__m"),
+        _zip_map(F.col("__dims"), F.col("__row.dimensions")).alias("__d"),
+        _zip_map(F.transform("__entries", lambda e: e["name"]), typed).alias("__m"),
     )
 
     def metric(name: str, kind: str) -> Column:

@@ -7,12 +7,25 @@ The checkpoint belongs in the folder ``spark.checkpoint.dir`` names.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from adlake.operators.merge import MergeSpec, absent_rows, merge_into_partitions
 
 
+@contextmanager
+def _kept(batch: DataFrame) -> Iterator[DataFrame]:
+    """The batch, read from its source once although the sink uses it repeatedly."""
+    rows = batch.persist()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
 def stream_insert_if_absent(
     stream: DataFrame, path: str, key: str, checkpoint: str, **trigger,
 ) -> StreamingQuery:
@@ -24,7 +37,8 @@ def stream_insert_if_absent(
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         target = batch.sparkSession.read.schema(batch.schema).parquet(path)
-        absent_rows(target, batch, key).write.mode("append").parquet(path)
+        with _kept(batch) as rows:
+            absent_rows(target, rows, key).write.mode("append").parquet(path)
 
     return (
         stream.writeStream.foreachBatch(load)
@@ -40,7 +54,8 @@ def stream_merge(
     """MERGE every micro-batch into a Parquet table partitioned by a key column."""
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        merge_into_partitions(batch.sparkSession, path, batch, spec, partition)
+        with _kept(batch) as rows:
+            merge_into_partitions(batch.sparkSession, path, rows, spec, partition)
 
     return (
         stream.writeStream.foreachBatch(load)

@@ -145,6 +145,21 @@ def test_dim_metric_report_drops_other_types_and_short_rows(spark):
         (1, "20240131", 5, None, 0.5), (1, "20240201", 6, None, None), (1, "20240202", None, None, None)]
 
 
+def test_headers_zip_pairs_up_to_the_shorter_list(spark):
+    json = ('{"headers":[{"name":"A"},{"name":"B"},{"name":"a"}],"rows":[{"cells":[{"value":"1"},{"value":"2"},'
+            '{"value":"3"}]},{"cells":[{"value":"9"}]}]}')
+    df = spark.read.json(spark.sparkContext.parallelize([json]))
+    got = sorted(map(tuple, P.zip_headers_cells(df, ["a", "b"]).collect()))
+    assert got == [("3", "2"), ("9", None)]
+
+
+def test_fractions_round_half_away_from_zero(spark):
+    numbers = [0.5, -0.5, 1.5, 2.5, -2.5, 0.49999999999999994, 2.4, -2.6, 1e15 + 0.5]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    got = [r["x"] for r in C.conform(df, T.StructType.fromDDL("x BIGINT")).collect()]
+    assert got == [1, -1, 2, 3, -3, 0, 2, -3, 10**15 + 1]
+
+
 def test_lookup_title_needs_the_id(spark):
     df = spark.createDataFrame([(1, 5.0, ("t",)), (2, None, ("t",))], "id int, PId double, P struct<Title string>")
     assert [tuple(r) for r in P.lookup_titles(df, {"p": ("PId", "P")}).orderBy("id").collect()] == [

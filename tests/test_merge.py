@@ -1,13 +1,16 @@
 """MERGE policies: NULL keys, duplicates, skew, partitions, contracts."""
 
 import datetime as dt
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from adlake.functions.schema import conform
 from adlake.operators.merge import (
-    MergeSpec, insert_if_absent, last_per_key, merge, merge_into_partitions, upsert_by_pk,
+    MergeSpec, insert_if_absent, last_per_key, merge, merge_into_partitions,
+    merge_into_table, upsert_by_pk,
 )
 from adlake.plans.contracts import CONTRACTS
 from adlake.sources.writers import ensure_table, swap_table, write_parquet
@@ -175,6 +178,36 @@ def test_swap_table(spark, rows):
     assert rows(spark.table("swap_me")) == [(1, 5, "a")]
 
 
+def test_merge_statement_needs_a_table_format(spark):
+    spark.sql("DROP TABLE IF EXISTS plain_table")
+    ensure_table(spark, "plain_table", spark.createDataFrame([], TARGET).schema)
+    source = spark.createDataFrame([(1, 5)], SOURCE)
+    with pytest.raises(Exception, match="MERGE INTO TABLE"):
+        merge_into_table(source, "plain_table", UPSERT)
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_random_cases_against_brute_force(spark, null_safe):
+    """Many small merges at once: the case number is part of the key."""
+    rng = random.Random(7)
+    target, source = [], []
+    for case in range(150):
+        keys = [None, 1, 2, 3, 4, 5]
+        target += [(case, rng.choice(keys), rng.randint(0, 9), "t") for _ in range(rng.randint(0, 6))]
+        source += [(case, k, rng.randint(10, 19)) for k in rng.sample(keys, rng.randint(0, 6))]
+    spec = MergeSpec(on=["c", "k"], update={"v": "v"}, insert={"c": "c", "k": "k", "v": "v"}, null_safe=null_safe)
+    merged = merge(
+        spark.createDataFrame(target, "c int, k int, v int, note string"),
+        spark.createDataFrame(source, "c int, k int, v int"), spec,
+    )
+    meets = lambda key: null_safe or key[1] is not None
+    new = {(c, k): v for c, k, v in source if meets((c, k))}
+    known = {(c, k) for c, k, _, _ in target if meets((c, k))}
+    expected = [(c, k, new.get((c, k), v), n) for c, k, v, n in target]
+    expected += [(c, k, v, None) for c, k, v in source if (c, k) not in known]
+    assert Counter(map(tuple, merged.collect())) == Counter(expected)
+
+
 # One golden case per contract: a known key, a new key, and what must (not) change.
 
 DAY = dt.date(2024, 1, 31)

@@ -94,15 +94,16 @@ def roundtrip_ndjson(t: Tables) -> DataFrame:
 
 @query(
     "report_union_lineage",
-    """SELECT s_suppkey, s_acctbal, CASE s_nationkey % 3 WHEN 0 THEN 'owner 0' ELSE 'owner 1' END AS content_owner,
-              CASE s_nationkey % 3 WHEN 0 THEN 'id-0' ELSE 'id-1' END AS content_owner_id,
-              CAST(100 + s_nationkey % 3 AS BIGINT) AS report_id
-       FROM supplier WHERE s_nationkey % 3 <> 2""",
+    """SELECT s_suppkey, s_acctbal, CASE WHEN s_acctbal < 2000 THEN 'owner 0' ELSE 'owner 1' END AS content_owner,
+              CASE WHEN s_acctbal < 2000 THEN 'id-0' ELSE 'id-1' END AS content_owner_id,
+              CAST(CASE WHEN s_acctbal < 2000 THEN 100 ELSE 101 END AS BIGINT) AS report_id
+       FROM supplier WHERE s_acctbal < 6000""",
 )
 def report_union_lineage(t: Tables) -> DataFrame:
-    """Three report sets; the third holds unreadable rows and is skipped as a whole."""
+    """Reports by balance; those of the highest band are unreadable and skipped as a whole."""
     base = scratch_path(t.spark, "reports")
-    group = F.col("s_nationkey") % 3
+    balance = F.col("s_acctbal")
+    group = F.when(balance < 2000, 0).when(balance < 6000, 1).otherwise(2)
     for number in range(3):
         key = F.col("s_suppkey").cast("string") if number < 2 else F.concat(F.lit("broken "), "s_suppkey")
         part = t.supplier.filter(group == number).select(key.alias("s_suppkey"), "s_acctbal")
