@@ -180,8 +180,8 @@ def insert_if_absent(target: DataFrame, source: DataFrame, key: str) -> DataFram
 
 
 def absent_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """The rows ``insert_if_absent`` would add."""
-    return new_rows(target, source.dropDuplicates([key]), MergeSpec(on=[key]))
+    """The rows ``insert_if_absent`` would add; known ones drop out before the rest is deduped."""
+    return new_rows(target, source, MergeSpec(on=[key])).dropDuplicates([key])
 
 
 def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:

@@ -151,19 +151,20 @@ def marketplace_payout(
     rows = attach_single(
         rows, provisions, "campaign_id", "campaign_id", "influencer_provision", "provision"
     )
-    items_total = F.col("cents").cast("decimal(20,0)") / 100
-    provision = to_money(items_total * F.col("provision").cast("decimal(12,4)") / 100)
+    cents = F.col("cents").cast("decimal(20,0)")
+    provision = cents * F.col("provision").cast("decimal(9,4)") / 10000
     paid = F.col("campaign_id").isNotNull() & (F.col("recipe") != UNPAID_RECIPE)
     return rows.select(
         "id",
-        F.when(paid, to_money(items_total) - provision).otherwise(F.lit(0))
+        F.when(paid, F.round(cents / 100, 2) - F.round(provision, 2)).otherwise(F.lit(0))
         .cast("double").alias("payout"),
     )
 
 
 def agency_payout(invoices: DataFrame, influencers: DataFrame) -> DataFrame:
     """Influencer and talent payout per agency invoice, from its influencer lines."""
-    # Shares and percentages are linear, so they are applied to the sums.
+    # Shares and percentages are linear, so they are applied to the sums. Sums are rounded
+    # to cents but not narrowed: one invoice may have very many lines.
     price = F.col("price").cast("decimal(12,2)")
     flag = F.col("service_fee_enabled")
     rows = child_sums(
@@ -176,8 +177,8 @@ def agency_payout(invoices: DataFrame, influencers: DataFrame) -> DataFrame:
         default=F.lit(0),
     )
     with_fee = F.col("with_fee")
-    influencer = to_money(with_fee - with_fee * rate(SERVICE_FEE))
-    talent = to_money(F.col("price") - with_fee - F.col("percents") / 100)
+    influencer = F.round(with_fee - with_fee * rate(SERVICE_FEE), 2)
+    talent = F.round(F.col("price") - with_fee - F.col("percents") / 100, 2)
     return rows.select(
         "id",
         influencer.cast("double").alias("influencer_payout"),
