@@ -46,7 +46,8 @@ class MergeSpec:
 
     Expressions are SQL text over source columns, or Columns. Results are cast
     to the target's types. ``on_multi_match="error"`` raises when several source
-    rows meet one target row; ``"any"`` takes one of them.
+    rows meet one target row; ``"any"`` takes one of them. ``small_source`` plans
+    for a source much smaller than the target; switch it off for a full reload.
     """
 
     on: Sequence[str]
@@ -55,6 +56,7 @@ class MergeSpec:
     keys: Mapping[str, Expr] = field(default_factory=dict)
     null_safe: bool = False
     on_multi_match: Literal["error", "any"] = "error"
+    small_source: bool = True
 
 
 def _expr(source: DataFrame, value: Expr) -> Column:
@@ -86,13 +88,16 @@ def new_rows(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame
     source_keys = [f"__src{i}" for i in range(len(spec.on))]
     keyed = source.withColumns(dict(zip(source_keys, _evaluate(source, keys, types))))
     known = target.select([F.col(f"`{k}`").alias(n) for k, n in zip(spec.on, key_names)])
-    wanted = keyed.select([F.col(s).alias(f"__w{s}") for s in source_keys])
     if not spec.null_safe:
-        known, wanted = known.dropna(), wanted.dropna()
-    # Two steps: only target keys the source asks for are kept, then looked up. A small
-    # source is broadcast in the first, and the target's other keys are not shuffled.
-    asked = dict(zip(key_names, wanted.columns))
-    known = join_reduced(known, wanted.distinct(), asked, "left_semi", spec.null_safe).distinct()
+        known = known.dropna()
+    if spec.small_source:
+        # Keep only target keys the source asks for. A source below the broadcast
+        # threshold spares the target's other keys the shuffle.
+        wanted = keyed.select([F.col(k).alias(f"__w{k}") for k in source_keys])
+        wanted = (wanted if spec.null_safe else wanted.dropna()).distinct()
+        asked = dict(zip(key_names, wanted.columns))
+        known = join_reduced(known, wanted, asked, "left_semi", spec.null_safe)
+    known = known.distinct()
     fresh = join_reduced(keyed, known, dict(zip(source_keys, key_names)), "left_anti", spec.null_safe)
     inserts = _insert_map(target, source, spec)
     filled = {n: inserts[n] for n in target.columns if n in inserts}
@@ -174,14 +179,19 @@ def merge_into_table(source: DataFrame, name: str, spec: MergeSpec) -> None:
     writer.merge()
 
 
-def insert_if_absent(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def insert_if_absent(
+    target: DataFrame, source: DataFrame, key: str, small_source: bool = True,
+) -> DataFrame:
     """Append source rows whose key the target does not have yet, one per key."""
-    return target.unionByName(absent_rows(target, source, key))
+    return target.unionByName(absent_rows(target, source, key, small_source))
 
 
-def absent_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def absent_rows(
+    target: DataFrame, source: DataFrame, key: str, small_source: bool = True,
+) -> DataFrame:
     """The rows ``insert_if_absent`` would add; known ones drop out before the rest is deduped."""
-    return new_rows(target, source, MergeSpec(on=[key])).dropDuplicates([key])
+    spec = MergeSpec(on=[key], small_source=small_source)
+    return new_rows(target, source, spec).dropDuplicates([key])
 
 
 def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:

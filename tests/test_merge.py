@@ -186,8 +186,8 @@ def test_merge_statement_needs_a_table_format(spark):
         merge_into_table(source, "plain_table", UPSERT)
 
 
-@pytest.mark.parametrize("null_safe", [False, True])
-def test_random_cases_against_brute_force(spark, null_safe):
+@pytest.mark.parametrize("null_safe, small_source", [(False, True), (True, True), (False, False), (True, False)])
+def test_random_cases_against_brute_force(spark, null_safe, small_source):
     """Many small merges at once: the case number is part of the key."""
     rng = random.Random(7)
     target, source = [], []
@@ -195,7 +195,8 @@ def test_random_cases_against_brute_force(spark, null_safe):
         keys = [None, 1, 2, 3, 4, 5]
         target += [(case, rng.choice(keys), rng.randint(0, 9), "t") for _ in range(rng.randint(0, 6))]
         source += [(case, k, rng.randint(10, 19)) for k in rng.sample(keys, rng.randint(0, 6))]
-    spec = MergeSpec(on=["c", "k"], update={"v": "v"}, insert={"c": "c", "k": "k", "v": "v"}, null_safe=null_safe)
+    spec = MergeSpec(on=["c", "k"], update={"v": "v"}, insert={"c": "c", "k": "k", "v": "v"},
+                     null_safe=null_safe, small_source=small_source)
     merged = merge(
         spark.createDataFrame(target, "c int, k int, v int, note string"),
         spark.createDataFrame(source, "c int, k int, v int"), spec,

@@ -126,4 +126,4 @@ def insert_absent(t: Tables) -> DataFrame:
         F.col("l_orderkey").alias("id"), F.lit("seen").alias("state")
     ).distinct()
     rows = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("state"))
-    return insert_if_absent(known, rows, "id")
+    return insert_if_absent(known, rows, "id", small_source=False)
