@@ -38,7 +38,8 @@ def join_reduced(
       column gives the join an exchange of its own on that side, and adaptive
       execution splits a hot left partition only if both sides have one;
     * left rows with a NULL key have no partner, so theirs may be a hash of the
-      whole row, which spreads them over the tasks.
+      whole row, which spreads them over the tasks. (Select the columns you need
+      beforehand: the hash reads all that are left.)
     """
     left_keys, right_keys = [F.col(f"`{k}`") for k in keys], [F.col(f"`{k}`") for k in keys.values()]
     bucket = _bucket(left_keys)

@@ -98,7 +98,10 @@ def digest(tasks: DataFrame, now: dt.datetime, tz: str = MAIL_ZONE) -> DataFrame
         F.col("change_type").alias("__type"), F.col("publisher_id").alias("__publisher")
     ).agg(first.alias("__first"), F.count(F.lit(1)).alias("mail_lines"))
     mail = {"change_type": "__type", "publisher_id": "__publisher"}
-    return join_reduced(lines, headers, mail, "inner", null_safe=True).select(
+    shown = lines.select(
+        "change_type", "publisher_id", "id", "reason", "affpubid", "offer_name", "offer_id"
+    )
+    return join_reduced(shown, headers, mail, "inner", null_safe=True).select(
         "change_type",
         "publisher_id",
         F.col("__first.email_to").alias("email_to"),

@@ -120,14 +120,12 @@ def allocate_agency(
     )
     months = months_if_running_on(created, start, end)
     days = month_end(run_date).day
-    shares = (
-        without(
-            invoices.filter(F.col("fastbill_invoice_number").isNotNull() & (new | old)),
-            cancelled, "id", "individual_campaign_id",
-        )
-        .withColumn("allocation", F.when(new, months).otherwise(months * days))
-        .select(to_money(F.col("total_cost")).alias("revenue"), "allocation")
+    shares = invoices.filter(F.col("fastbill_invoice_number").isNotNull() & (new | old)).select(
+        "id",
+        to_money(F.col("total_cost")).alias("revenue"),
+        F.when(new, months).otherwise(months * days).alias("allocation"),
     )
+    shares = without(shares, cancelled, "id", "individual_campaign_id")
     return _total(shares, run_date, product_key, cost_ratio)
 
 
