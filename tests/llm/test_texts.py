@@ -209,15 +209,16 @@ def test_network_learns_and_keeps_recall():
 
 
 def test_learned_spans_are_added(spark):
+    """Secrets whose shape the patterns' findings teach are found without the patterns' words."""
     rng = random.Random(1)
-    hexa = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
-    card = lambda: "".join(rng.choice("0123456789") for _ in range(16))
-    rows = [(i, f"some words token = \"{hexa()}\" and card {card()} more") for i in range(300)]
-    upper = [(1000 + i, "key material " + "-".join([hexa()[:8], hexa()[:23], hexa()[:8]])) for i in range(5)]
-    out = {r.doc_id: r for r in secrets.find_secrets(spark.createDataFrame(rows + upper, "doc_id long, text string")).collect()}
-    assert all(out[i].n_learned == 0 for i in range(300))
+    letters = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    make = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    rows = [(i, f"some words secret: {make(letters, 40)} and card {make('0123456789', 16)} more") for i in range(300)]
+    bare = [(1000 + i, f"key material {make(letters, 40)} here") for i in range(5)]
+    out = {r.doc_id: r for r in secrets.find_secrets(spark.createDataFrame(rows + bare, "doc_id long, text string")).collect()}
+    assert all(out[i].n_learned == 0 and out[i].n_assign == 1 for i in range(300))
     assert sum(out[1000 + i].n_learned for i in range(5)) >= 4
-    assert all("learned:13:" in out[1000 + i].spans for i in range(5) if out[1000 + i].n_learned)
+    assert all(out[1000 + i].spans == "learned:13:53" for i in range(5) if out[1000 + i].n_learned)
 
 
 def test_secrets_of_nothing(nothing):
