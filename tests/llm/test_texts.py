@@ -200,7 +200,7 @@ def test_network_learns_and_keeps_recall():
         label = i % 3 == 0
         token = make("0123456789abcdef", 40) if label else make("0123456789", 16) if i % 3 == 1 else make("thenand", 14) + "12"
         left = rng.choice(["call me at ", "token = \"", "of the and "])[-secrets.LEFT :].rjust(secrets.LEFT, "\0")
-        windows.append(left + token[: secrets.INSIDE].ljust(secrets.INSIDE, "\0"))
+        windows.append(left + token[: secrets.INSIDE].ljust(secrets.INSIDE, "\0") + " more".ljust(secrets.RIGHT, "\0"))
         labels.append(label)
     network = secrets.train(windows[:700], labels[:700])
     said = network.probabilities(windows[700:]) >= network.threshold
