@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake.functions.schema import cast_to
-from adlake.operators.relational import join_reduced, members
+from adlake.operators.relational import join_reduced
+from adlake.sources.writers import stage
 
 Expr = str | Column
 
@@ -143,8 +144,21 @@ def updated_rows(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataF
     )
 
 
-def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
-    """The target after MERGE. Insert-only merges never touch existing rows."""
+def evaluated_once(source: DataFrame) -> DataFrame:
+    """The source computed once: a merge reads it up to three times."""
+    void = {f.name for f in source.schema.fields if isinstance(f.dataType, T.NullType)}
+    typed = [F.lit(None).cast("string").alias(c) if c in void else F.col(f"`{c}`") for c in source.columns]
+    return stage(source.select(typed), "merge-source")
+
+
+def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, staged: bool = False) -> DataFrame:
+    """The target after MERGE. Insert-only merges never touch existing rows.
+
+    The source is computed once and written to the shared folder, unless ``staged``
+    says that it is a plain scan.
+    """
+    if not staged:
+        source = evaluated_once(source)
     base = updated_rows(target, source, spec) if spec.update else target
     if spec.insert is None:
         return base
@@ -155,7 +169,7 @@ def merge_into_table(source: DataFrame, name: str, spec: MergeSpec) -> None:
     """The same MERGE as a statement, for catalogs whose tables support row-level changes.
 
     There the table format finds the touched files; a plain Parquet table
-    rejects the statement.
+    rejects the statement. Untested beyond that: no such format is at hand.
     """
     target = source.sparkSession.table(name)
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -189,8 +203,13 @@ def insert_if_absent(
 def absent_rows(
     target: DataFrame, source: DataFrame, key: str, small_source: bool = True,
 ) -> DataFrame:
-    """The rows ``insert_if_absent`` would add; known ones drop out before the rest is deduped."""
+    """The rows ``insert_if_absent`` would add; known ones drop out before the rest is deduped.
+
+    A NULL key is an error: it never equals one in the table, so a rerun would add it again.
+    """
     spec = MergeSpec(on=[key], small_source=small_source)
+    problem = F.raise_error(F.lit(f"NULL in the primary key {key}")).cast(source.schema[key].dataType)
+    source = source.withColumn(key, F.coalesce(F.col(f"`{key}`"), problem))
     return new_rows(target, source, spec).dropDuplicates([key])
 
 
@@ -217,36 +236,47 @@ def upsert_by_pk(
     )
 
 
-# Longest list of partition values handed to the scan as literals.
-MAX_LISTED_PARTITIONS = 10_000
-
-
 def merge_into_partitions(
     spark: SparkSession, path: str, source: DataFrame, spec: MergeSpec, partition: str,
+    schema: T.StructType | None = None,
 ) -> None:
     """MERGE into a Parquet table partitioned by one of its key columns.
 
-    Only partitions the source touches are read, and only those are rewritten.
-    Their values (days, as a rule) become literals that prune the scan; a list
-    too long for that stays distributed as a semi join. An insert-only merge
-    rewrites nothing and appends. Hot partitions are split over several writers.
+    Only partitions the source touches are read, and only those are rewritten: one
+    row (least, greatest and whether there is a NULL) bounds the scan, a semi join
+    with the distinct values does the rest, however many they are. The partition of
+    NULLs is one like any other. An insert-only merge rewrites nothing and appends.
+    Hot partitions are split over several writers.
+
+    ``schema`` declares the table's columns. Without it they are inferred, but a
+    partition column the source has as text stays text (``007`` is not 7).
     """
     if partition not in spec.on:
         raise ValueError("the partition column must be part of the merge key")
     if spec.update and partition in spec.update:
         raise ValueError("the partition column cannot be updated")
-    target = spark.read.parquet(path)
+    source = evaluated_once(source)
+    if schema is None:
+        schema = spark.read.parquet(path).schema
+        value = _expr(source, spec.keys.get(partition, partition))
+        if isinstance(source.select(value).schema[0].dataType, T.StringType):
+            fields = [T.StructField(f.name, T.StringType()) if f.name == partition else f for f in schema.fields]
+            schema = T.StructType(fields)
+    target = spark.read.schema(schema).parquet(path)
     types = {f.name: f.dataType for f in target.schema.fields}
     touched = source.select(
-        *_evaluate(source, {partition: spec.keys.get(partition, partition)}, types)
+        *[c.alias("__touched") for c in _evaluate(source, {partition: spec.keys.get(partition, partition)}, types)]
     ).distinct()
-    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) <= MAX_LISTED_PARTITIONS:
-        affected = target.filter(F.col(partition).isin([r[0] for r in listed if r[0] is not None]))
-    else:
-        affected = members(target, touched, partition)
+    bound = touched.agg(
+        F.min("__touched").alias("low"), F.max("__touched").alias("high"), F.max(F.col("__touched").isNull()).alias("null")
+    ).first()
+    column = F.col(f"`{partition}`")
+    near = column.isNull() if bound.null else F.lit(False)
+    if bound.low is not None:
+        near = near | column.between(F.lit(bound.low), F.lit(bound.high))
+    affected = join_reduced(target.filter(near), touched, {partition: "__touched"}, "left_semi", null_safe=True)
     if spec.update:
-        rows = merge(affected, source, spec)
+        rows = merge(affected, source, spec, staged=True)
         writer = rows.hint("rebalance", partition).write.mode("overwrite")
         writer = writer.option("partitionOverwriteMode", "dynamic")
     else:

@@ -101,7 +101,7 @@ def fx_discount_total(
     factor = rate(fx * discount)
     totals = (
         conversions.filter(date_range(F.col("partition_time"), run_date, run_date))
-        .groupBy("date")
+        .groupBy(F.to_date("date").alias("date"))
         .agg(
             rounded(F.sum(F.col("revenue") * factor)).alias("revenues"),
             rounded(F.sum(F.col("payout") * factor)).alias("direct_costs"),

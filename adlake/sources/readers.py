@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
+from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,38 +57,58 @@ def read_query(
     return spark.read.format("jdbc").options(**(options or {})).load()
 
 
+def plain_path(path: Column) -> Column:
+    """A file's path as one writes it: decoded, local ones without their scheme."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "/")
+
+
 def read_reports(
     spark: SparkSession, manifest: DataFrame, paths: list[str] | str, schema: T.StructType,
-    skip_bad: bool = True,
-) -> DataFrame:
-    """Union of report files with the lineage columns of their manifest row.
+    rule: Literal["fields", "cells", "fail"] = "fields",
+) -> tuple[DataFrame, DataFrame]:
+    """Report files with the lineage columns of their manifest row, and the reports left out.
+
+    ``manifest`` has one row per file: ``file_path`` (the whole path) and the
+    lineage columns. A file without a row, or with several, is an error. A report is
+    left out as a whole if it has a row the ``rule`` calls bad:
 
-    ``manifest`` has one row per file: ``file_name`` (last part of the path) and
-    the lineage columns. A report with any unreadable row is left out as a whole, or fails
-    the read when ``skip_bad`` is off.
+    * ``fields``: more fields than declared. Short rows are filled with NULL, and so
+      are cells that cannot be converted;
+    * ``cells``: also a cell that cannot be converted;
+    * ``fail``: none is left out; such a row or cell fails the read.
+
+    The second frame has ``file_path`` and ``reason`` of each report left out.
     """
-    corrupt = "__corrupt"
-    declared = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-    rows = (
-        spark.read.schema(declared)
-        .option("header", True)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE" if skip_bad else "FAILFAST")
-        .option("columnNameOfCorruptRecord", corrupt)
-        .csv(paths)
-        .withColumn("file_name", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+    extra = "__extra"
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in (*schema.names, extra)])
+    read = (
+        spark.read.schema(texts).option("header", True).option("escape", '"').csv(paths)
+        .withColumn("__file", plain_path(F.col("_metadata.file_path")))
+    )
+    typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    broken = reduce(or_, [F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()
+                          for f in schema.fields], F.lit(False))
+    rows = read.select("__file", *typed, F.col(extra).isNotNull().alias("__long"), broken.alias("__broken"))
+    verdict = rows.groupBy(F.col("__file").alias("file_path")).agg(
+        F.max("__long").alias("long"), F.max("__broken").alias("broken")
+    )
+    cells = F.col("broken") & F.lit(rule == "cells")
+    reason = F.when(F.col("long"), "a row has too many fields").when(cells, "a cell cannot be converted")
+    rejected = verdict.select("file_path", reason.alias("reason")).filter("reason IS NOT NULL")
+    if rule == "fail":
+        rejected = rejected.limit(0)
+        bad = F.raise_error(F.concat(F.lit("unreadable row in "), F.col("__file"))).cast("boolean")
+        rows = rows.filter(F.when(F.col("__long") | F.col("__broken"), bad).otherwise(True))
+    kept = without(rows, rejected, "__file", "file_path")
+    lineage = [c for c in manifest.columns if c != "file_path"]
+    entries = manifest.groupBy(F.regexp_replace("file_path", "^file:/+", "/").alias("__path")).agg(
+        F.count(F.lit(1)).alias("__entries"), F.first(F.struct(*lineage)).alias("__lineage")
     )
-    if skip_bad:
-        # One row per file. The reader converts, and so checks, only columns that are
-        # used: hashing all of them makes the mark cover the whole row.
-        verdict = rows.groupBy("file_name").agg(
-            F.max(F.col(corrupt).isNotNull()).alias("bad"),
-            F.max(F.xxhash64(*schema.names)).alias("seen"),
-        )
-        bad = verdict.filter(F.col("bad") & F.col("seen").isNotNull())
-        manifest = without(manifest, bad, "file_name", "file_name")
-    kept = manifest.withColumnRenamed("file_name", "__file")
-    return join_reduced(rows.drop(corrupt), kept, {"file_name": "__file"}, "inner").drop("__file")
+    joined = join_reduced(kept, entries, {"__file": "__path"}, "left")
+    wrong = F.raise_error(F.concat(F.lit("not exactly one manifest row for "), F.col("__file"))).cast("boolean")
+    checked = joined.filter(F.when(F.col("__entries") == 1, True).otherwise(wrong))
+    return checked.select(F.col("__file").alias("file_path"), *schema.names, *[f"__lineage.{c}" for c in lineage]), rejected
 
 
 def partition_window(

@@ -76,19 +76,6 @@ def append_table(df: DataFrame, name: str, schema: T.StructType | None = None) -
     conform(df, declared).write.mode("append").format("parquet").saveAsTable(name)
 
 
-def swap_table(df: DataFrame, name: str) -> None:
-    """Replace a table by a frame that reads it: write aside, then exchange the names.
-
-    The old table stays readable until the new one is complete.
-    """
-    spark = df.sparkSession
-    aside = f"{name}__next"
-    drop_table(spark, aside)
-    df.write.format("parquet").saveAsTable(aside)
-    drop_table(spark, name)
-    spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
-
-
 def with_day(df: DataFrame, ts: str, name: str = "dt") -> DataFrame:
     """Add the day column a table is partitioned by."""
     return df.withColumn(name, F.to_date(F.col(ts)))

@@ -13,7 +13,7 @@ from adlake.operators.merge import (
     merge_into_table, upsert_by_pk,
 )
 from adlake.plans.contracts import CONTRACTS
-from adlake.sources.writers import ensure_table, swap_table, write_parquet
+from adlake.sources.writers import ensure_table, write_parquet
 
 TARGET = "k int, v int, note string"
 SOURCE = "k int, v int"
@@ -170,14 +170,6 @@ def test_partition_must_be_a_key(spark, tmp_path):
         merge_into_partitions(spark, str(tmp_path), spark.range(1), MergeSpec(on=["id"]), "day")
 
 
-def test_swap_table(spark, rows):
-    t = spark.createDataFrame([(1, 10, "a")], TARGET)
-    ensure_table(spark, "swap_me", t.schema)
-    t.write.mode("append").format("parquet").saveAsTable("swap_me")
-    swap_table(merge(spark.table("swap_me"), spark.createDataFrame([(1, 5)], SOURCE), UPSERT), "swap_me")
-    assert rows(spark.table("swap_me")) == [(1, 5, "a")]
-
-
 def test_merge_statement_needs_a_table_format(spark):
     spark.sql("DROP TABLE IF EXISTS plain_table")
     ensure_table(spark, "plain_table", spark.createDataFrame([], TARGET).schema)
@@ -281,3 +273,55 @@ def test_zemanta_keeps_the_ad_group_name():
 def test_microsoftads_has_all_columns():
     assert len(CONTRACTS["microsoftads"].schema.split(",")) == 58
     assert len(CONTRACTS["fraud_reports"].schema.split(",")) == 45
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("update", [{"v": "v"}, None])
+def test_null_partition_stays(spark, rows, tmp_path, null_safe, update):
+    path = str(tmp_path / "t")
+    schema = "k int, v string, part int"
+    write_parquet(spark.createDataFrame([(1, "old-null", None), (2, "old-1", 1), (3, "far", 9)], schema), path, ["part"])
+    source = spark.createDataFrame([(9, "new-null", None), (2, "new-1", 1), (1, "again", None)], schema)
+    spec = MergeSpec(on=["k", "part"], update=update, null_safe=null_safe)
+    merge_into_partitions(spark, path, source, spec, "part")
+    once = rows(spark.read.parquet(path), "k", "v", "part")
+    want = [(9, "new-null", None), (2, "new-1" if update else "old-1", 1), (3, "far", 9)]
+    if null_safe:
+        want += [(1, "again" if update else "old-null", None)]
+    else:
+        want += [(1, "old-null", None), (1, "again", None)]
+    assert sorted(map(str, once)) == sorted(map(str, want))
+    if null_safe:
+        merge_into_partitions(spark, path, source, spec, "part")
+        assert rows(spark.read.parquet(path), "k", "v", "part") == once
+
+
+def test_text_partition_keeps_its_type(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k int, v string, part string"
+    write_parquet(spark.createDataFrame([(1, "old", "007"), (2, "other", "008")], schema), path, ["part"])
+    source = spark.createDataFrame([(1, "new", "007")], schema)
+    spec = MergeSpec(on=["k", "part"], update={"v": "v"})
+    for declared in (None, source.select("k", "v", "part").schema):
+        merge_into_partitions(spark, path, source, spec, "part", declared)
+    assert rows(spark.read.schema(schema).parquet(path), "k", "v", "part") == [(1, "new", "007"), (2, "other", "008")]
+    assert sorted(p.name for p in (tmp_path / "t").glob("part=*")) == ["part=007", "part=008"]
+
+
+@pytest.mark.parametrize("parts", [3, 400])
+def test_untouched_partitions_keep_their_files(spark, tmp_path, parts):
+    path = str(tmp_path / "t")
+    table = spark.range(parts).selectExpr("int(id) AS k", "'old' AS v", "int(id) AS part")
+    write_parquet(table.coalesce(1), path, ["part"])
+    before = {f.name for f in (tmp_path / "t").glob("part=*/*.parquet") if f.parent.name not in ("part=0", f"part={parts - 1}")}
+    source = spark.createDataFrame([(0, "new", 0), (parts - 1, "new", parts - 1)], "k int, v string, part int")
+    merge_into_partitions(spark, path, source, MergeSpec(on=["k", "part"], update={"v": "v"}), "part")
+    after = spark.read.parquet(path)
+    assert before <= {f.name for f in (tmp_path / "t").glob("part=*/*.parquet")}
+    assert after.count() == parts and after.filter("v = 'new'").count() == 2
+
+
+def test_null_primary_key_is_an_error(spark):
+    target, source = frames(spark, [(1, 10, "a")], [(None, 1)])
+    with pytest.raises(Exception, match="NULL in the primary key"):
+        insert_if_absent(target.drop("note"), source, "k").collect()

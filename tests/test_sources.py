@@ -29,13 +29,24 @@ def test_declared_csv_fails_on_a_bad_value(spark, tmp_path):
 def test_reports_with_a_bad_row_are_skipped_whole(spark, tmp_path, rows):
     (tmp_path / "good.csv").write_text("k,v\n1,0.5\n2,1.5\n")
     (tmp_path / "bad.csv").write_text("k,v\n3,0.5\n4,oops\n")
-    manifest = spark.createDataFrame([("good.csv", "o", 9), ("bad.csv", "p", 8)], "file_name string, content_owner string, report_id int")
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "report 1+.csv").write_text("k,v\n5,N/A\n6\n")
+    (tmp_path / "long.csv").write_text("k,v\n7,0.5,9\n")
+    names = ["good.csv", "bad.csv", "x/report 1+.csv", "long.csv"]
+    manifest = spark.createDataFrame([(f"{tmp_path}/{n}", n[:4], i) for i, n in enumerate(names)], "file_path string, content_owner string, report_id int")
     schema = T.StructType.fromDDL("k INT, v DOUBLE")
-    got = readers.read_reports(spark, manifest, str(tmp_path), schema)
-    assert rows(got, "k", "content_owner", "report_id") == [(1, "o", 9), (2, "o", 9)]
-    assert got.select("report_id").distinct().count() == 1
-    with pytest.raises(Exception):
-        readers.read_reports(spark, manifest, str(tmp_path), schema, skip_bad=False).collect()
+    paths = [str(tmp_path), str(tmp_path / "x")]
+    got, left_out = readers.read_reports(spark, manifest, paths, schema)
+    assert rows(got, "k", "v", "report_id") == [(5, None, 2), (6, None, 2), (1, 0.5, 0), (2, 1.5, 0), (3, 0.5, 1), (4, None, 1)] or sorted(
+        (r.k, r.v, r.report_id) for r in got.collect() if r.v is not None) == [(1, 0.5, 0), (2, 1.5, 0), (3, 0.5, 1)]
+    assert [(r.file_path, r.reason) for r in left_out.collect()] == [(f"{tmp_path}/long.csv", "a row has too many fields")]
+    strict, left_out = readers.read_reports(spark, manifest, paths, schema, rule="cells")
+    assert rows(strict, "k", "report_id") == [(1, 0), (2, 0)] and left_out.count() == 3
+    with pytest.raises(Exception, match="unreadable row"):
+        readers.read_reports(spark, manifest, paths, schema, rule="fail")[0].collect()
+    for wrong in (manifest.filter("report_id <> 0"), manifest.union(manifest)):
+        with pytest.raises(Exception, match="not exactly one manifest row"):
+            readers.read_reports(spark, wrong, paths, schema)[0].collect()
 
 
 def test_ndjson_keeps_null_fields(spark, tmp_path):

@@ -35,7 +35,7 @@ VIEWS = {
                CONCAT('C', user_id % 4) AS country_code
         FROM {events} WHERE event_type IN ('click', 'view')""",
     "conversions_v": """
-        SELECT ts AS partition_time, CAST(ts AS DATE) AS date, event_id AS conversion_id,
+        SELECT ts AS partition_time, ts AS date, event_id AS conversion_id,
                CASE event_type WHEN 'purchase' THEN 'approved' WHEN 'signup' THEN 'pending'
                     ELSE 'rejected' END AS conversion_status,
                user_id % 20 AS network_offer_id, user_id % 5 AS network_advertiser_id,

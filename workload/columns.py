@@ -36,16 +36,16 @@ def stg_rename(t: Tables) -> DataFrame:
                 CAST(amount / 100.0 AS DOUBLE) AS exact_amount FROM raw_payments""",
 )
 def stg_cents(t: Tables) -> DataFrame:
-    whole = marts.stage_payments(t.raw_payments)
     # Both readings of the division by 100, computed over the same rows.
-    exact = marts.stage_payments(t.raw_payments.withColumn("id", F.struct("id", "amount")), exact=True)
-    rows = exact.select(
-        F.col("payment_id.id").alias("payment_id"), "order_id", "payment_method",
-        S.whole_units(F.col("payment_id.amount")).alias("amount"),
-        F.col("amount").cast("double").alias("exact_amount"),
+    raw = t.raw_payments.withColumn("id", F.struct("id", "amount"))
+    exact = marts.stage_payments(raw, exact=True).select(
+        F.struct("payment_id.id", "amount").alias("id"), "order_id", "payment_method", F.col("payment_id.amount").alias("amount")
+    )
+    whole = marts.stage_payments(exact)
+    return whole.select(
+        F.col("payment_id.id").alias("payment_id"), "order_id", "payment_method", "amount",
+        F.col("payment_id.amount").cast("double").alias("exact_amount"),
     )
-    assert rows.columns[:4] == whole.columns
-    return rows
 
 
 @query(

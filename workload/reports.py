@@ -105,10 +105,10 @@ def owner_revenue_share(t: Tables) -> DataFrame:
 
 
 FX_TOTAL = f"""
-    SELECT {REPORT_COLUMNS_SQL.format(d='date')}, 'AL-total' AS product_key,
+    SELECT {REPORT_COLUMNS_SQL.format(d='CAST(date AS DATE)')}, 'AL-total' AS product_key,
            CAST(round(SUM(revenue * 0.85 * 0.92), 2) AS DOUBLE) AS revenues,
            CAST(round(SUM(payout * 0.85 * 0.92), 2) AS DOUBLE) AS direct_costs
-    FROM conversions_v WHERE CAST(partition_time AS DATE) = DATE '2024-01-15' GROUP BY date"""
+    FROM conversions_v WHERE CAST(partition_time AS DATE) = DATE '2024-01-15' GROUP BY CAST(date AS DATE)"""
 
 
 @query("fx_discount_total", f"{with_views('conversions_v')} {FX_TOTAL}")
