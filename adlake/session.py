@@ -50,8 +50,14 @@ def build_session(
     return builder.getOrCreate()
 
 
-def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Set the runtime SQL defaults on a session somebody else created."""
+def apply_defaults(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Set the runtime SQL defaults on a session somebody else created.
+
+    ``input_bytes`` sizes its shuffles as in ``build_session``.
+    """
+    if input_bytes:
+        number = str(shuffle_partitions(input_bytes))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", number)
     for key, value in RUNTIME_DEFAULTS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
