@@ -236,17 +236,36 @@ def upsert_by_pk(
     )
 
 
+def touched_partitions(target: DataFrame, source: DataFrame, partition: str, value: Expr) -> DataFrame:
+    """The target's rows in partitions that ``value`` names for some source row.
+
+    One row (least, greatest and whether there is a NULL) bounds the scan, so the
+    other partitions are not listed; a semi join with the distinct values does the
+    rest, however many they are. The partition of NULLs is one like any other.
+    """
+    types = {f.name: f.dataType for f in target.schema.fields}
+    touched = source.select(
+        *[c.alias("__touched") for c in _evaluate(source, {partition: value}, types)]
+    ).distinct()
+    bound = touched.agg(
+        F.min("__touched").alias("low"), F.max("__touched").alias("high"), F.max(F.col("__touched").isNull()).alias("null")
+    ).first()
+    column = F.col(f"`{partition}`")
+    near = column.isNull() if bound.null else F.lit(False)
+    if bound.low is not None:
+        near = near | column.between(F.lit(bound.low), F.lit(bound.high))
+    return join_reduced(target.filter(near), touched, {partition: "__touched"}, "left_semi", null_safe=True)
+
+
 def merge_into_partitions(
     spark: SparkSession, path: str, source: DataFrame, spec: MergeSpec, partition: str,
     schema: T.StructType | None = None,
 ) -> None:
     """MERGE into a Parquet table partitioned by one of its key columns.
 
-    Only partitions the source touches are read, and only those are rewritten: one
-    row (least, greatest and whether there is a NULL) bounds the scan, a semi join
-    with the distinct values does the rest, however many they are. The partition of
-    NULLs is one like any other. An insert-only merge rewrites nothing and appends.
-    Hot partitions are split over several writers.
+    Only partitions the source touches are read (``touched_partitions``), and only those
+    are rewritten. An insert-only merge rewrites nothing and appends. Hot partitions are
+    split over several writers.
 
     ``schema`` declares the table's columns. Without it they are inferred, but a
     partition column the source has as text stays text (``007`` is not 7).
@@ -263,18 +282,7 @@ def merge_into_partitions(
             fields = [T.StructField(f.name, T.StringType()) if f.name == partition else f for f in schema.fields]
             schema = T.StructType(fields)
     target = spark.read.schema(schema).parquet(path)
-    types = {f.name: f.dataType for f in target.schema.fields}
-    touched = source.select(
-        *[c.alias("__touched") for c in _evaluate(source, {partition: spec.keys.get(partition, partition)}, types)]
-    ).distinct()
-    bound = touched.agg(
-        F.min("__touched").alias("low"), F.max("__touched").alias("high"), F.max(F.col("__touched").isNull()).alias("null")
-    ).first()
-    column = F.col(f"`{partition}`")
-    near = column.isNull() if bound.null else F.lit(False)
-    if bound.low is not None:
-        near = near | column.between(F.lit(bound.low), F.lit(bound.high))
-    affected = join_reduced(target.filter(near), touched, {partition: "__touched"}, "left_semi", null_safe=True)
+    affected = touched_partitions(target, source, partition, spec.keys.get(partition, partition))
     if spec.update:
         rows = merge(affected, source, spec, staged=True)
         writer = rows.hint("rebalance", partition).write.mode("overwrite")

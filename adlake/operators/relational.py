@@ -126,15 +126,28 @@ def attach_single(
     highest value and a NULL mark travel, however many rows the key has.
     """
     expr = F.col(value) if isinstance(value, str) else value
-    stats = child.groupBy(F.col(child_key).alias("__scalar_key")).agg(
-        F.min(expr).alias("__low"),
-        F.max(expr).alias("__high"),
-        F.max(expr.isNull()).alias("__has_null"),
-    )
+    stats = child.groupBy(F.col(child_key).alias("__scalar_key")).agg(*single_stats(expr, name))
     joined = join_reduced(parent, stats, {parent_key: "__scalar_key"}, "left")
-    several = (F.col("__low") != F.col("__high")) | (
-        F.col("__has_null") & F.col("__low").isNotNull()
-    )
     problem = F.raise_error(F.lit(f"more than one {name} for one {parent_key}"))
     kept = [F.col(f"`{c}`") for c in parent.columns if c != name]
-    return joined.select(*kept, F.when(several, problem).otherwise(F.col("__low")).alias(name))
+    return joined.select(*kept, F.when(several(name), problem).otherwise(F.col(f"__low_{name}")).alias(name))
+
+
+def single_stats(value: Column, name: str, among: Column | None = None) -> list[Column]:
+    """Aggregates that show whether a group has one value: the lowest, the highest and a NULL mark.
+
+    ``among`` says which rows of the group count.
+    """
+    counted = F.lit(True) if among is None else among
+    shown = F.when(counted, value)
+    return [
+        F.min(shown).alias(f"__low_{name}"),
+        F.max(shown).alias(f"__high_{name}"),
+        F.max(counted & value.isNull()).alias(f"__null_{name}"),
+    ]
+
+
+def several(name: str) -> Column:
+    """Whether the group had more than one value, NULL counting as one; NULL without a group."""
+    low = F.col(f"__low_{name}")
+    return (low != F.col(f"__high_{name}")) | (F.col(f"__null_{name}") & low.isNotNull())

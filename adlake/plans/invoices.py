@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from adlake.functions.dates import date_keys, month_end, month_start, months_spanned
 from adlake.functions.scalars import rate, rounded, to_money
-from adlake.operators.relational import attach_single, child_sums, without
+from adlake.operators.relational import child_sums, join_reduced, several, single_stats, without
 
 # Cost share of revenue, report keys, fee shares.
 COST_RATIO = Decimal("0.7")
@@ -139,24 +139,37 @@ def marketplace_payout(
     and invoices without a campaign. An invoice, campaign or recipe leading to
     two different values is an error.
     """
-    # Cents are summed as whole numbers and become units once per invoice.
-    rows = child_sums(
-        invoices.select("id"), items, "id", "invoice_id", {"cents": F.col("price")}
+    # The chain from a campaign to its recipe and provision is resolved per campaign, so that
+    # items are read once and invoices are joined twice, however many lookups there are.
+    facts = features.select(
+        F.col("campaign_id").alias("__campaign"), "recipe_id", F.lit(True).alias("is_feature")
+    ).unionByName(
+        provisions.select(
+            F.col("campaign_id").alias("__campaign"), "influencer_provision", F.lit(False).alias("is_feature")
+        ),
+        allowMissingColumns=True,
     )
-    rows = attach_single(rows, items, "id", "invoice_id", "campaign_id", "campaign_id")
-    rows = attach_single(rows, features, "campaign_id", "campaign_id", "recipe_id", "recipe_id")
-    rows = attach_single(rows, recipes, "recipe_id", "id", "name", "recipe")
-    rows = attach_single(
-        rows, provisions, "campaign_id", "campaign_id", "influencer_provision", "provision"
+    campaigns = facts.groupBy("__campaign").agg(
+        *single_stats(F.col("recipe_id"), "recipe_id", F.col("is_feature")),
+        *single_stats(F.col("influencer_provision"), "provision", ~F.col("is_feature")),
     )
-    cents = F.col("cents").cast("decimal(20,0)")
-    provision = cents * F.col("provision").cast("decimal(9,4)") / 10000
-    paid = F.col("campaign_id").isNotNull() & (F.col("recipe") != UNPAID_RECIPE)
-    return rows.select(
-        "id",
-        F.when(paid, F.round(cents / 100, 2) - F.round(provision, 2)).otherwise(F.lit(0))
-        .cast("double").alias("payout"),
+    names = recipes.groupBy(F.col("id").alias("__recipe")).agg(*single_stats(F.col("name"), "recipe"))
+    campaigns = join_reduced(campaigns, names, {"__low_recipe_id": "__recipe"}, "left")
+    # Cents are summed as whole numbers and become units once per invoice.
+    totals = items.groupBy(F.col("invoice_id").alias("__invoice")).agg(
+        F.sum("price").alias("cents"), *single_stats(F.col("campaign_id"), "campaign_id")
     )
+    rows = join_reduced(invoices.select("id"), totals, {"id": "__invoice"}, "left")
+    rows = join_reduced(rows, campaigns, {"__low_campaign_id": "__campaign"}, "left")
+    cents = F.col("cents").cast("decimal(20,0)")
+    provision = cents * F.col("__low_provision").cast("decimal(9,4)") / 10000
+    paid = F.col("__low_campaign_id").isNotNull() & (F.col("__low_recipe") != UNPAID_RECIPE)
+    payout = F.when(paid, F.round(cents / 100, 2) - F.round(provision, 2)).otherwise(F.lit(0)).cast("double")
+    steps = {"campaign_id": "id", "recipe_id": "campaign_id", "recipe": "recipe_id", "provision": "campaign_id"}
+    for name, key in steps.items():
+        problem = F.raise_error(F.lit(f"more than one {name} for one {key}")).cast("double")
+        payout = F.when(several(name), problem).otherwise(payout)
+    return rows.select("id", payout.alias("payout"))
 
 
 def agency_payout(invoices: DataFrame, influencers: DataFrame) -> DataFrame:

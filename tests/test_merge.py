@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from adlake.functions.schema import conform
 from adlake.operators.merge import (
     MergeSpec, insert_if_absent, last_per_key, merge, merge_into_partitions,
-    merge_into_table, upsert_by_pk,
+    merge_into_table, touched_partitions, upsert_by_pk,
 )
 from adlake.plans.contracts import CONTRACTS
 from adlake.sources.writers import ensure_table, write_parquet
+from adlake.streaming.upserts import stream_insert_if_absent
 
 TARGET = "k int, v int, note string"
 SOURCE = "k int, v int"
@@ -325,3 +326,29 @@ def test_null_primary_key_is_an_error(spark):
     target, source = frames(spark, [(1, 10, "a")], [(None, 1)])
     with pytest.raises(Exception, match="NULL in the primary key"):
         insert_if_absent(target.drop("note"), source, "k").collect()
+
+
+def test_touched_partitions_bound_the_scan(spark, rows, plan, tmp_path):
+    path = str(tmp_path / "t")
+    spark.sql("SELECT id, date_add(DATE '2024-01-01', CAST(id AS INT)) AS day FROM range(30)").write.partitionBy("day").parquet(path)
+    target = spark.read.schema("id bigint, day date").parquet(path)
+    source = spark.sql("SELECT id, date_add(DATE '2024-01-01', CAST(id AS INT)) AS day FROM range(5, 9, 2)")
+    near = touched_partitions(target, source, "day", "day")
+    assert rows(near, "id") == [(5,), (7,)]
+    filters = next(line for line in plan(near).splitlines() if "PartitionFilters" in line and path in line)
+    assert "day#" in filters and ">=" in filters.split("PartitionFilters")[1]
+    assert rows(touched_partitions(target, source.limit(0), "day", "day")) == []
+
+
+def test_stream_with_a_partition_adds_each_key_once(spark, rows, tmp_path):
+    path, landed = str(tmp_path / "t"), str(tmp_path / "in")
+    schema = "id bigint, what string, day date"
+    spark.sql("SELECT 1L AS id, 'known' AS what, DATE '2024-01-01' AS day").write.partitionBy("day").parquet(path)
+    spark.sql(
+        """SELECT * FROM VALUES (1L, 'new', DATE '2024-01-01'), (2L, 'new', DATE '2024-01-01'), (2L, 'new', DATE '2024-01-01'),
+           (3L, 'new', CAST(NULL AS DATE)) AS t(id, what, day)"""
+    ).write.parquet(landed)
+    for run in range(2):
+        stream = spark.readStream.schema(schema).parquet(landed)
+        stream_insert_if_absent(stream, path, "id", str(tmp_path / f"c{run}"), partition="day").awaitTermination()
+    assert rows(spark.read.schema(schema).parquet(path), "id", "what") == [(1, "known"), (2, "new"), (3, "new")]

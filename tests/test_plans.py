@@ -25,3 +25,10 @@ def test_plan(spark, plan, name):
         if "SinglePartition" in line:
             # Only partial aggregates without keys may meet in one partition.
             assert re.search(r"HashAggregate\(keys=\[\]", lines[number + 1]), text
+
+
+def test_payout_reads_items_once_and_joins_invoices_twice(spark, plan):
+    text = plan(QUERIES["influencer_payout"](spark, FOLDER))
+    assert text.count("/lineitem.parquet") == 1
+    # The third join resolves recipes per campaign.
+    assert len(re.findall(r"(?:SortMergeJoin|HashJoin)\b", text)) == 3

@@ -141,6 +141,12 @@ def test_marketplace_payout_giveaway_and_campaign_conflict(spark, rows):
     torn = items.unionByName(spark.createDataFrame([(1, 11, 5)], items.schema))
     with pytest.raises(Exception, match="more than one campaign_id"):
         invoices.marketplace_payout(inv, torn, features, recipes, prov).collect()
+    for frame, row, problem in ((features, (20, 3), "recipe_id"), (recipes, (2, "post"), "recipe"), (prov, (20, None), "provision")):
+        doubled = [f.unionByName(spark.createDataFrame([row], f.schema)) if f is frame else f for f in (features, recipes, prov)]
+        with pytest.raises(Exception, match=f"more than one {problem} for"):
+            invoices.marketplace_payout(inv, items, *doubled).collect()
+        # What no invoice leads to is no error.
+        assert rows(invoices.marketplace_payout(inv, items.filter("campaign_id = 10"), *doubled))[0] == (1, 17.0)
 
 
 def test_bookings_fallback_and_null_months(spark):

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.operators.merge import MergeSpec, insert_if_absent, merge, upsert_by_pk
+from adlake.operators.merge import MergeSpec, insert_if_absent, merge, merge_into_partitions, upsert_by_pk
+from adlake.session import scratch_path
+from adlake.sources.writers import write_parquet
 from workload.bindings import Tables, with_views
 from workload.registry import query
 
@@ -96,6 +98,40 @@ def merge_cast_insert(t: Tables) -> DataFrame:
     return merged.withColumn("reported_at", F.col("reported_at").cast("timestamp_ntz"))
 
 
+# Text partitions that look like numbers, and one of NULLs; the staged side leaves three alone.
+PART = "CASE WHEN account_id % 8 > 0 THEN CONCAT('00', account_id % 8) END"
+TOUCHED = "part IS NULL OR part < '005'"
+
+
+@query(
+    "merge_partitioned",
+    with_views(*LIVE)
+    + f""", l AS (SELECT *, {PART} AS part FROM live_v),
+          s AS (SELECT * FROM (SELECT *, {PART} AS part FROM staged_v) WHERE {TOUCHED})
+        SELECT l.date, l.account_id, CASE WHEN s.date IS NOT NULL THEN s.click ELSE CAST(l.clicks AS BIGINT) END AS clicks,
+               CASE WHEN s.date IS NOT NULL THEN s.total_cost ELSE l.cost END AS cost, l.origin, l.part
+        FROM l LEFT JOIN s ON l.date = s.date AND l.account_id IS NOT DISTINCT FROM s.account_id
+        UNION ALL
+        SELECT s.date, s.account_id, s.click, s.total_cost, 'staged', s.part FROM s
+        WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.date = s.date AND l.account_id IS NOT DISTINCT FROM s.account_id)""",
+)
+def merge_partitioned(t: Tables) -> DataFrame:
+    """Merged twice into a table partitioned by a text column: the second run changes nothing."""
+    path = f"{scratch_path(t.spark, 'merge-partitioned')}/table"
+    live = t.live_v.withColumn("part", F.expr(PART))
+    write_parquet(live, path, ["part"])
+    staged = t.staged_v.withColumn("part", F.expr(PART)).filter(TOUCHED)
+    spec = MergeSpec(
+        on=["date", "account_id", "part"], null_safe=True,
+        update={"clicks": "click", "cost": "total_cost"},
+        insert={"date": "date", "account_id": "account_id", "clicks": "click", "cost": "total_cost",
+                "origin": "'staged'", "part": "part"},
+    )
+    for _ in range(2):
+        merge_into_partitions(t.spark, path, staged, spec, "part")
+    return t.spark.read.schema(live.schema).parquet(path)
+
+
 @query(
     "upsert_by_pk",
     """WITH last AS (SELECT o_custkey, max_by(o_orderpriority, o_orderkey) AS name FROM orders GROUP BY 1),

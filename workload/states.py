@@ -143,15 +143,54 @@ def _order_files(t: Tables) -> DataFrame:
        UNION ALL SELECT o_orderkey, 'new', o_totalprice FROM orders WHERE o_orderstatus <> 'F'""",
 )
 def stream_ingest_actions(t: Tables) -> DataFrame:
-    """Orders already in the table are left alone; running the stream again adds nothing."""
+    """Orders already in the table are left alone; running the stream again adds nothing.
+
+    The table is partitioned by the year of the order, so a batch reads the years it has.
+    """
     base = scratch_path(t.spark, "stream")
     columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]
-    write_parquet(t.orders.filter("o_orderstatus = 'F'").select(columns), f"{base}/table")
+    year = F.trunc("o_orderdate", "year").alias("first_day")
+    write_parquet(t.orders.filter("o_orderstatus = 'F'").select(*columns, year), f"{base}/table", ["first_day"])
     for run in range(2):
-        rows = _order_files(t).withColumn("o_orderstatus", F.lit("new")).select(columns)
-        query_ = stream_insert_if_absent(rows, f"{base}/table", "o_orderkey", f"{base}/checkpoint-{run}")
+        rows = _order_files(t).withColumn("o_orderstatus", F.lit("new")).select(*columns, year)
+        query_ = stream_insert_if_absent(
+            rows, f"{base}/table", "o_orderkey", f"{base}/checkpoint-{run}", partition="first_day"
+        )
         query_.awaitTermination()
-    return t.spark.read.parquet(f"{base}/table")
+    return t.spark.read.parquet(f"{base}/table").select(columns)
+
+
+ACTION_KNOWN = "updated_on < TIMESTAMP '1998-07-15 00:00:00'"
+
+
+@query(
+    "action_run",
+    with_views("actions", "tasks")
+    + f""", merged AS (
+            SELECT id, change_type, delay_hours, status, email_sent_on FROM tasks WHERE {ACTION_KNOWN}
+            UNION ALL
+            SELECT id, CASE change_type WHEN 3 THEN 'block_tsp' WHEN 6 THEN 'block_affpubid' END, delay_hours,
+                   'registered', NULL
+            FROM actions WHERE created_on >= DATE '1998-07-15' AND process_status = 0
+              AND id NOT IN (SELECT id FROM tasks WHERE {ACTION_KNOWN})),
+          mailed AS (SELECT * REPLACE (CASE WHEN {PENDING} THEN {NOW_SQL} ELSE email_sent_on END AS email_sent_on)
+                     FROM merged)
+          SELECT 'task' AS kind, id, change_type AS what, CASE WHEN {DUE} THEN 'success' ELSE status END AS status,
+                 email_sent_on AS at FROM mailed
+          UNION ALL SELECT 'log', id, 'email_sent', NULL, {NOW_SQL} FROM merged WHERE {PENDING}
+          UNION ALL
+          SELECT 'log', id, CASE change_type WHEN 'block_tsp' THEN 'blocked_tsp' ELSE 'blocked_affpubid' END, NULL,
+                 {NOW_SQL} FROM mailed WHERE {DUE}""",
+)
+def action_run(t: Tables) -> DataFrame:
+    """A whole run over the tasks of earlier days: the task table after it and its log rows."""
+    known = conform(_tasks(t).filter(ACTION_KNOWN), A.task_schema())
+    state, log = A.run_actions(t.actions, known, RUN, NOW)
+    tasks = state.select(F.lit("task").alias("kind"), "id", F.col("change_type").alias("what"), "status",
+                         F.col("email_sent_on").alias("at"))
+    logged = log.select(F.lit("log").alias("kind"), F.col("task_id").alias("id"), F.col("event_type").alias("what"),
+                        F.lit(None).cast("string").alias("status"), F.col("created_on").alias("at"))
+    return _plain(tasks.unionByName(logged))
 
 
 @query(
