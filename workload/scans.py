@@ -120,7 +120,7 @@ def report_union_lineage(t: Tables) -> DataFrame:
 
 @query(
     "report_rejects",
-    """SELECT '2' AS report, 'a row has too many fields' AS reason FROM supplier WHERE s_acctbal >= 6000 GROUP BY ALL""",
+    """SELECT DISTINCT '2' AS report, 'a row has too many fields' AS reason FROM supplier WHERE s_acctbal >= 6000""",
 )
 def report_rejects(t: Tables) -> DataFrame:
     return _reports(t)[1].select(F.regexp_extract("file_path", "of (\\d)/", 1).alias("report"), "reason")
