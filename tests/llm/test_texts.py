@@ -12,6 +12,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from adlake.llm import decontaminate, licenses, quality, secrets, tokens
 
@@ -158,6 +159,28 @@ def test_clean_documents_stay(spark, test_docs):
     assert sum(r.kept for r in judged) >= 0.99 * len(judged)
 
 
+@pytest.mark.parametrize("lang", ["de", "fr", "es"])
+def test_copies_of_one_text_change_no_verdict(spark, lang):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").filter("quality = 1 AND toxic = 0")
+    before = quality.quality(docs).join(docs.select("doc_id", "lang"), "doc_id").filter(f"lang = '{lang}' AND NOT base_failed").collect()
+    clean = {r.doc_id for r in labels.collect()}
+    middle = sorted(before, key=lambda r: r.log_perplexity)[len(before) // 2].doc_id
+    copies = docs.filter(F.col("doc_id") == middle).crossJoin(spark.range(500)).select(docs.columns)
+    hot = docs.union(copies.withColumn("doc_id", F.lit(-1).cast("long")))
+    judged = quality.quality(hot).filter("doc_id <> -1").collect()
+    assert {r.doc_id for r in before if r.kept} == {r.doc_id for r in judged if r.kept} & {r.doc_id for r in before}
+    mine = [r for r in judged if r.doc_id in clean and r.doc_id in {b.doc_id for b in before}]
+    rejected = sum(not r.kept for r in mine)
+    assert mine and rejected <= 0.05 * len(mine), (rejected, len(mine))
+
+
+def test_distinct_texts(spark, both_docs):
+    rows = [r.text or "" for r in both_docs.union(both_docs.limit(50)).collect()]
+    got = [r.text or "" for r in quality.distinct_texts(both_docs.union(both_docs.limit(50))).collect()]
+    assert sorted(got) == sorted(set(rows))
+
+
 def test_quality_of_nothing(nothing):
     assert quality.quality(nothing).collect() == [] and quality.keep_good(nothing).collect() == []
 
