@@ -1,17 +1,19 @@
 """Licence scan: normalised passages compared to templates by the Dice coefficient over word bigrams.
 
-Passages are runs of whole lines. A coefficient of ``t`` is out of reach unless the
-number of bigrams lies between t / (2 - t) and (2 - t) / t times the template's, so
-only passages and templates of fitting size are compared. Every text is judged
-where it is read; nothing is shuffled.
+Passages are runs of whole lines, and then, in the words that these leave over, runs of
+words at any place. A coefficient of ``t`` is out of reach unless the number of bigrams
+lies between t / (2 - t) and (2 - t) / t times the template's, so only passages and
+templates of fitting size are compared. Every text is judged where it is read; nothing
+is shuffled.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,6 +59,10 @@ class Scanner:
         self.templates = [m for m in made if m[0]]
         self.sizes = [m[0] for m in self.templates]
         self.least, self.ratio = least, least / (2 - least)
+        self.having: dict[tuple[str, str], list[int]] = defaultdict(list)
+        for t, (_, _, own) in enumerate(self.templates):
+            for pair in own:
+                self.having[pair].append(t)
         self.vocabulary = {w for _, _, b in self.templates for pair in b for w in pair}
 
     def fitting(self, size: int) -> list[tuple[int, str, Counter]]:
@@ -73,10 +79,70 @@ class Scanner:
         score, name = min((-dice(own, other), name) for _, name, other in candidates)
         return (-score, name) if -score >= self.least else None
 
+    def window(self, pairs: list[tuple[str, str]], hits: list[int], at: int, t: int, end: int) -> tuple[float, int] | None:
+        """(coefficient, last bigram) of the best match of a template that begins at its bigram ``hits[at]``
+        and ends before bigram ``end``; of equal ones the longest.
+
+        A best match begins and ends with a bigram of the template: any other only lowers it.
+        """
+        size, _, own = self.templates[t]
+        first, need = hits[at], max(1, int(size * self.ratio + 1 - 1e-9))
+        end = min(end, first + int(size / self.ratio + 1e-9))
+        if at + need > len(hits) or hits[at + need - 1] >= end:
+            return None
+        left, common, best = dict(own), 0, None
+        for k in range(at, len(hits)):
+            p = hits[k]
+            if p >= end:
+                break
+            if left[pairs[p]]:
+                left[pairs[p]] -= 1
+                common += 1
+                score = 2 * common / (size + p - first + 1)
+                if score >= self.least and (best is None or score >= best[0]):
+                    best = (score, p)
+        return best
+
+    def windows(self, flat: list[str], covered: bytearray) -> list[tuple[int, int, str, float]]:
+        """(first word, last word, template, coefficient) of the matches in words not ``covered``, which are marked then.
+
+        The best goes first, then the longer (a short notice may be part of a long one), the
+        earlier, the first by name; one that meets a chosen match is sought again in
+        what is left.
+        """
+        pairs = list(zip(flat, flat[1:]))
+        hits: dict[int, list[int]] = defaultdict(list)
+        having = self.having
+        for p, pair in enumerate(pairs):
+            if pair in having and not covered[p] and not covered[p + 1]:
+                for t in having[pair]:
+                    hits[t].append(p)
+
+        def found(t: int, at: int) -> list:
+            first = hits[t][at]
+            stop = covered.find(1, first)
+            best = self.window(pairs, hits[t], at, t, stop - 1 if stop >= 0 else len(pairs))
+            return [] if best is None else [(-best[0], first - best[1], first, self.templates[t][1], t, at)]
+
+        heap = [f for t, own in hits.items() for at in range(len(own)) for f in found(t, at)]
+        heapify(heap)
+        chosen = []
+        while heap:
+            score, less, first, name, t, at = heappop(heap)
+            length = -less
+            if covered.find(1, first, first + length + 2) < 0:
+                covered[first : first + length + 2] = b"\1" * (length + 2)
+                chosen.append((first, first + length + 1, name, -score))
+            elif not covered[first]:
+                for f in found(t, at):
+                    heappush(heap, f)
+        return chosen
+
     def scan(self, text: str) -> list[tuple[int, int, str, float]]:
         """(first line, last line, template, coefficient) of the matches, lines from 0.
 
-        Of passages that overlap the best stays, then the shorter, then the earlier.
+        Of passages that overlap the best stays, then the shorter, then the earlier. A match
+        of whole lines takes up the words of these lines that match its template best.
         """
         if not self.sizes:
             return []
@@ -101,8 +167,25 @@ class Scanner:
         for i, j, name, score in sorted(found, key=lambda f: (-f[3], f[1] - f[0], f[0])):
             if all(j < a or i > b for a, b, _, _ in chosen):
                 chosen.append((i, j, name, score))
+        flat = [w for line in lines for w in line]
+        of_word = [i for i, line in enumerate(lines) for _ in line]
+        covered = bytearray(len(flat))
+        for i, j, name, _ in chosen:
+            start, end = bisect_left(of_word, i), bisect_right(of_word, j)
+            first, last = self.closest(flat[start:end], name)
+            covered[start + first : start + last + 1] = b"\1" * (last - first + 1)
+        chosen += [(of_word[a], of_word[b], name, score) for a, b, name, score in self.windows(flat, covered)]
         return sorted(chosen)
 
+    def closest(self, run: list[str], name: str) -> tuple[int, int]:
+        """First and last word of the part of a matching passage that matches best."""
+        t = next(t for t, m in enumerate(self.templates) if m[1] == name)
+        pairs = list(zip(run, run[1:]))
+        hits = [p for p, pair in enumerate(pairs) if pair in self.templates[t][2]]
+        best = [(-w[0], hits[k] - w[1], hits[k]) for k in range(len(hits)) if (w := self.window(pairs, hits, k, t, len(pairs)))]
+        _, less, first = min(best)
+        return first, first - less + 1
+
 
 def scan_licenses(
     docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = LEAST, doc: str = "doc_id", text: str = "text",

@@ -282,6 +282,43 @@ def test_license_over_several_lines():
     assert [m[2] for m in licenses.Scanner().scan(text)] == ["GPL-3.0-notice"]
 
 
+def slow_windows(flat, templates, least, most):
+    free, chosen = [True] * len(flat), []
+    made = {n: licenses.bigrams(licenses.words(t)) for n, t in templates.items()}
+    while True:
+        found = [
+            (-score, i - j, i, name)
+            for i in range(len(flat)) for j in range(i + 1, min(len(flat), i + most)) if all(free[i : j + 1])
+            for name, own in made.items() if (score := licenses.dice(licenses.bigrams(flat[i : j + 1]), own)) >= least
+        ]
+        if not found:
+            return sorted(chosen)
+        score, less, i, name = min(found)
+        length = -less
+        chosen.append((i, i + length, name, -score))
+        free[i : i + length + 1] = [False] * (length + 1)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from("abcdx"), max_size=30))
+def test_license_windows(flat):
+    templates = {"one": "a b c d a", "two": "b c b", "three": "d c b a b c d"}
+    scanner = licenses.Scanner(templates)
+    assert sorted(scanner.windows(flat, bytearray(len(flat)))) == slow_windows(flat, templates, 0.8, 12)
+
+
+def test_license_inside_lines():
+    scan, filler = licenses.Scanner().scan, " ".join(f"w{i}" for i in range(100))
+    names = lambda text: [m[2] for m in scan(text)]
+    assert names("Copyright (c) 2024 Foo. Released under the MIT License.") == ["MIT"]
+    for name, template in licenses.TEMPLATES.items():
+        assert names(f"{filler} {template} {filler}") == [name]
+        assert names(f"a\n{filler} {template.replace(' ', chr(10), 3)} {filler}\nb") == [name]
+    both = licenses.TEMPLATES["GPL-3.0-notice"] + " " + licenses.TEMPLATES["MIT"]
+    assert names(both) == ["GPL-3.0-notice", "MIT"]
+    assert names(f"{filler} {both} {filler}") == ["GPL-3.0-notice", "MIT"]
+
+
 def test_licenses_of_nothing(nothing):
     assert licenses.scan_licenses(nothing).collect() == []
 
