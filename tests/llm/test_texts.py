@@ -244,6 +244,28 @@ def test_learned_spans_are_added(spark):
     assert all(out[1000 + i].spans == "learned:13:53" for i in range(5) if out[1000 + i].n_learned)
 
 
+def test_windows_reach_the_end_of_a_candidate():
+    token = "config/prod/eu-west-1/service/database/v" + "Zq8" * 14
+    found = secrets.candidates(f"see {token} now", [])
+    windows = [w[secrets.LEFT : secrets.LEFT + secrets.INSIDE] for _, _, w, _ in found]
+    assert {(s, e) for s, e, _, _ in found} == {(4, 4 + len(token))} and token[-secrets.INSIDE :] in windows
+    assert all(any(token[i : i + 30] in w for w in windows) for i in range(len(token) - 29))
+    assert [c[:2] for c in secrets.candidates("pin abc12345 and QwErTyUiOpAsDfGh, not abcdefgh", [])] == [(4, 12), (17, 33)]
+    assert {c[3] for c in secrets.candidates(token, [(0, 0, 8)])} == {True, None}
+
+
+def test_secret_behind_a_long_path_is_found(spark):
+    rng = random.Random(1)
+    letters = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    make = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    path = "config/prod/eu-west-1/service/database/values/key="
+    rows = [(i, f"some words secret: {make(letters, 40)} and card {make('0123456789', 16)} in {path}default more") for i in range(300)]
+    hidden = [(1000 + i, f"look at {path}{make(letters, 40)} here") for i in range(5)]
+    out = {r.doc_id: r for r in secrets.find_secrets(spark.createDataFrame(rows + hidden, "doc_id long, text string")).collect()}
+    assert sum(out[1000 + i].spans == f"learned:8:{8 + len(path) + 40}" for i in range(5)) >= 4
+    assert sum(out[i].n_learned for i in range(300)) <= 15
+
+
 def test_secrets_of_nothing(nothing):
     assert secrets.find_secrets(nothing).collect() == []
 
