@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from adlake.llm import chat, decontaminate, licenses, mixing, quality, secrets, shards, simhash, tokens, urls
+from adlake.llm import audit, bpe, chat, decontaminate, licenses, mixing, quality, secrets, shards, simhash, tokens, turns, urls
 from adlake.llm.common import prepared, table
+from adlake.operators.relational import join_reduced
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -195,6 +196,127 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(table(spark, folder, "documents"))
 
 
+@query("op11_bpe_codec")
+def op11_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(table(spark, folder, "documents"), *vocabulary)
+    return bpe.decode(encoded, *vocabulary).select(
+        "doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+_RUNS = "regexp_extract_all(body, '[^\\x20\\x09-\\x0D]+')"
+
+
+@query("op12_filter_audit", f"""
+WITH base AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body FROM documents),
+firsts AS (SELECT body, min(doc_id) AS least FROM base GROUP BY body),
+held AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+failing AS (
+  SELECT part, CASE WHEN len(words) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(body, '[^A-Z]+', '', 'g')) > 5 * length(body) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS fails, good, toxic
+  FROM (SELECT *, {_RUNS} AS words FROM base) JOIN firsts USING (body) LEFT JOIN held USING (doc_id)
+), cells AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failing GROUP BY part, fails
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, step, filter_order[step] AS letter, left(filter_order, step - 1) AS before FROM orders, (SELECT unnest(range(1, 6))::INT AS step)
+), judged AS (
+  SELECT *, contains(fails, letter) AS failed, translate(fails, before, '') = fails AS alive FROM cells, steps
+), counted AS (
+  SELECT part, filter_order, step, letter, sum(CASE WHEN alive AND NOT failed THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN alive AND failed THEN n ELSE 0 END)::BIGINT AS removed, sum(CASE WHEN failed AND NOT alive THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN fails = letter THEN n ELSE 0 END)::BIGINT AS unique_fails, sum(CASE WHEN alive AND failed THEN good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN alive AND failed THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM judged GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counted""")
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = (table(spark, folder, t) for t in ("documents", "labels"))
+    return audit.interactions(audit.masked(docs, audit.text_rules, "E", labels), "ABCDE").drop("letter")
+
+
+# States of a repaired conversation: 0 empty, 1 behind system, 2 behind user, 3 behind assistant.
+@query("op13_turn_repair", r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+           lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t
+), named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations
+), kinds AS (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(name, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) % 20 AS kind
+  FROM named, crc
+), hurt AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS again
+  FROM kinds WHERE kind <> 0
+), convs AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+copies AS (
+  SELECT c, turn, role, text, row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST) AS copy
+  FROM hurt JOIN convs ON hurt.conv_id IS NOT DISTINCT FROM convs.conv_id
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS j,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z', 1) AS last
+  FROM copies
+), judged AS (
+  SELECT *, CASE WHEN last = '' THEN 'blank' WHEN copy > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY c ORDER BY j) || left(role, 1) AS pair
+  FROM placed
+), moves AS (
+  SELECT * FROM (VALUES (0, 0, 0, ''), (0, 1, 2, 'user:'), (0, 2, 3, 'user:' || chr(10) || 'assistant:'), (1, 0, 1, ''), (1, 1, 2, 'user:'),
+    (1, 2, 3, 'user:' || chr(10) || 'assistant:'), (2, 0, 2, ''), (2, 1, 3, 'assistant:'), (2, 2, 2, 'assistant:' || chr(10) || 'user:'),
+    (3, 0, 3, ''), (3, 1, 2, 'user:'), (3, 2, 3, 'user:' || chr(10) || 'assistant:')) AS m(state, inserts, mid, lines)
+), ops AS (
+  SELECT * FROM (VALUES (0, 'K', 's', 1, ''), (0, 'K', 'u', 2, ''), (1, 'K', 'u', 2, ''), (2, 'K', 'a', 3, ''), (3, 'K', 'u', 2, ''),
+    (0, 'R', NULL, 2, 'user'), (1, 'R', NULL, 2, 'user'), (2, 'R', NULL, 3, 'assistant'), (3, 'R', NULL, 2, 'user'),
+    (0, 'D', NULL, 0, ''), (1, 'D', NULL, 1, ''), (2, 'D', NULL, 2, ''), (3, 'D', NULL, 3, '')) AS o(mid, op, initial, behind, new_role)
+), paths AS (
+  SELECT c, 0::BIGINT AS j, 0 AS state, 0::BIGINT AS cost, '' AS audit, '' AS lines FROM convs
+  UNION ALL
+  SELECT c, j, state, cost, audit, lines FROM (
+    SELECT p.c, p.j + 1 AS j, o.behind AS state,
+           p.cost + 2 * m.inserts + CASE o.op WHEN 'R' THEN 2 WHEN 'D' THEN 3 ELSE 0 END + CASE WHEN o.op <> 'D' AND r.fault = 'truncated' THEN 1 ELSE 0 END AS cost,
+           p.audit || repeat('I', m.inserts) || o.op AS audit,
+           p.lines || CASE WHEN m.lines = '' THEN '' ELSE chr(10) || m.lines END
+             || CASE o.op WHEN 'D' THEN '' ELSE chr(10) || CASE o.op WHEN 'K' THEN r.role ELSE o.new_role END || ':' || r.text END AS lines
+    FROM paths p JOIN judged r ON r.c = p.c AND r.j = p.j + 1 JOIN moves m ON m.state = p.state JOIN ops o ON o.mid = m.mid
+    WHERE (o.op = 'D' OR r.fault NOT IN ('blank', 'duplicate')) AND (o.op <> 'K' OR o.initial = left(r.role, 1))
+  ) QUALIFY row_number() OVER (PARTITION BY c, state ORDER BY cost, audit) = 1
+), sizes AS (SELECT c, count(j) AS n FROM convs LEFT JOIN judged USING (c) GROUP BY c),
+ends AS (
+  SELECT c, cost + CASE state WHEN 2 THEN 2 WHEN 1 THEN 4 ELSE 0 END AS cost, audit || CASE state WHEN 2 THEN 'I' WHEN 1 THEN 'II' ELSE '' END AS audit,
+         lines || CASE state WHEN 2 THEN chr(10) || 'assistant:' WHEN 1 THEN chr(10) || 'user:' || chr(10) || 'assistant:' ELSE '' END AS lines
+  FROM paths JOIN sizes USING (c) WHERE j = n
+), best AS (SELECT * FROM ends QUALIFY row_number() OVER (PARTITION BY c ORDER BY cost, audit) = 1),
+facts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY c
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, cost, audit, sha256(substr(lines, 2)) AS repaired_sha256
+FROM convs JOIN best USING (c) LEFT JOIN facts USING (c)""")
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    found = turns.summaries(turns.repair(turns.damaged(rows)))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    joined = join_reduced(rows.select("conv_id").distinct(), found, {"conv_id": "conv"}, "left", null_safe=True)
+    return joined.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(prepared(spark), folder)
