@@ -18,7 +18,7 @@ is new on every run unless ``null_safe`` is set.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
@@ -81,24 +81,48 @@ def _insert_map(target: DataFrame, source: DataFrame, spec: MergeSpec) -> dict[s
     return dict(spec.insert or {})
 
 
-def new_rows(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
-    """Source rows without a partner in the target, shaped like the target."""
+Join = Callable[[DataFrame, DataFrame, Mapping[str, str], str, bool], DataFrame]
+
+
+def _with_keys(target: DataFrame, source: DataFrame, spec: MergeSpec) -> tuple[DataFrame, list[str]]:
+    """The source with its keys in the target's types, and their names."""
     types = {f.name: f.dataType for f in target.schema.fields}
+    names = [f"__src{i}" for i in range(len(spec.on))]
     keys = {k: spec.keys.get(k, k) for k in spec.on}
+    return source.withColumns(dict(zip(names, _evaluate(source, keys, types)))), names
+
+
+def known_keys(
+    target: DataFrame, source: DataFrame, spec: MergeSpec, join: Join = join_reduced, carried: Sequence[str] = (),
+) -> DataFrame:
+    """The target's keys (``__key0`` ...), once each; with ``small_source`` only those the source asks for.
+
+    ``join`` finds these; it may need more columns of the target, which are ``carried`` to it.
+    """
+    keyed, source_keys = _with_keys(target, source, spec)
     key_names = [f"__key{i}" for i in range(len(spec.on))]
-    source_keys = [f"__src{i}" for i in range(len(spec.on))]
-    keyed = source.withColumns(dict(zip(source_keys, _evaluate(source, keys, types))))
-    known = target.select([F.col(f"`{k}`").alias(n) for k, n in zip(spec.on, key_names)])
+    known = target.select([F.col(f"`{k}`").alias(n) for k, n in zip(spec.on, key_names)] + list(carried))
     if not spec.null_safe:
-        known = known.dropna()
+        known = known.dropna(subset=key_names)
     if spec.small_source:
         # Keep only target keys the source asks for. A source below the broadcast
         # threshold spares the target's other keys the shuffle.
         wanted = keyed.select([F.col(k).alias(f"__w{k}") for k in source_keys])
         wanted = (wanted if spec.null_safe else wanted.dropna()).distinct()
         asked = dict(zip(key_names, wanted.columns))
-        known = join_reduced(known, wanted, asked, "left_semi", spec.null_safe)
-    known = known.distinct()
+        known = join(known, wanted, asked, "left_semi", spec.null_safe)
+    return known.select(key_names).distinct()
+
+
+def new_rows(target: DataFrame, source: DataFrame, spec: MergeSpec, known: DataFrame | None = None) -> DataFrame:
+    """Source rows without a partner in the target, shaped like the target.
+
+    ``known`` are the target's keys, if ``known_keys`` has found them already.
+    """
+    types = {f.name: f.dataType for f in target.schema.fields}
+    keyed, source_keys = _with_keys(target, source, spec)
+    known = known_keys(target, source, spec) if known is None else known
+    key_names = known.columns
     fresh = join_reduced(keyed, known, dict(zip(source_keys, key_names)), "left_anti", spec.null_safe)
     inserts = _insert_map(target, source, spec)
     filled = {n: inserts[n] for n in target.columns if n in inserts}
@@ -109,8 +133,11 @@ def new_rows(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame
     )
 
 
-def updated_rows(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
-    """The whole target, with the update applied to rows that have a partner."""
+def updated_rows(target: DataFrame, source: DataFrame, spec: MergeSpec, join: Join = join_reduced) -> DataFrame:
+    """The whole target, with the update applied to rows that have a partner.
+
+    ``join`` brings the source's rows, one for each key, to the target's.
+    """
     types = {f.name: f.dataType for f in target.schema.fields}
     assignments = dict(spec.update or {})
     keys = {k: spec.keys.get(k, k) for k in spec.on}
@@ -125,7 +152,7 @@ def updated_rows(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataF
         F.count(F.lit(1)).alias("__n"),
         *[F.first(f"__new_{n}").alias(f"__new_{n}") for n in assignments],
     )
-    joined = join_reduced(target, partner, dict(zip(spec.on, key_names)), "left", spec.null_safe)
+    joined = join(target, partner, dict(zip(spec.on, key_names)), "left", spec.null_safe)
     if spec.on_multi_match == "error":
         # Duplicates without a partner are no error, so the check must stay above the
         # join; the optimizer never moves a predicate that is not deterministic.
@@ -239,22 +266,19 @@ def upsert_by_pk(
 def touched_partitions(target: DataFrame, source: DataFrame, partition: str, value: Expr) -> DataFrame:
     """The target's rows in partitions that ``value`` names for some source row.
 
-    One row (least, greatest and whether there is a NULL) bounds the scan, so the
-    other partitions are not listed; a semi join with the distinct values does the
-    rest, however many they are. The partition of NULLs is one like any other.
+    The values are part of the scan's own filter, so no other partition is read, however far the
+    touched ones lie apart. The driver holds them as it holds the list of the table's partitions and
+    of those a write commits; they are no more than these. The partition of NULLs is one like any other.
     """
     types = {f.name: f.dataType for f in target.schema.fields}
-    touched = source.select(
-        *[c.alias("__touched") for c in _evaluate(source, {partition: value}, types)]
-    ).distinct()
-    bound = touched.agg(
-        F.min("__touched").alias("low"), F.max("__touched").alias("high"), F.max(F.col("__touched").isNull()).alias("null")
-    ).first()
+    touched = source.select(*[c.alias("__touched") for c in _evaluate(source, {partition: value}, types)]).distinct()
+    found = [r[0] for r in touched.collect()]
+    values = [v for v in found if v is not None]
     column = F.col(f"`{partition}`")
-    near = column.isNull() if bound.null else F.lit(False)
-    if bound.low is not None:
-        near = near | column.between(F.lit(bound.low), F.lit(bound.high))
-    return join_reduced(target.filter(near), touched, {partition: "__touched"}, "left_semi", null_safe=True)
+    near = F.lit(False)
+    if values:
+        near = column.between(F.lit(min(values)), F.lit(max(values))) & column.isin([F.lit(v).cast(types[partition]) for v in values])
+    return target.filter(near | column.isNull() if None in found else near)
 
 
 def merge_into_partitions(

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any, Literal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -53,6 +53,16 @@ class Check:
     to: tuple[str, str] | None = None
 
 
+def is_bad(check: Check) -> Column:
+    """Whether a row fails a check that looks at one row."""
+    column = F.col(check.column)
+    if check.kind == "not_null":
+        return column.isNull()
+    if check.kind == "accepted_values":
+        return ~column.isin(list(check.values))
+    raise ValueError(f"{check.kind} needs more than one row")
+
+
 def _failures(models: Mapping[str, DataFrame], check: Check) -> DataFrame:
     df = models[check.model]
     if check.kind == "unique":
@@ -68,8 +78,7 @@ def _row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All row-wise checks of one model in a single pass, one row per check."""
     entries = []
     for check in checks:
-        column = F.col(check.column)
-        bad = column.isNull() if check.kind == "not_null" else ~column.isin(list(check.values))
+        bad = is_bad(check)
         entries.append(
             F.struct(
                 F.lit(check.column).alias("column_name"),

@@ -41,3 +41,27 @@ def rows():
 def plan():
     """The physical plan as text."""
     return lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def scanned():
+    """What each file scan of a frame reads when it runs: partitions (0 if there are none) and rows."""
+
+    def leaves(node):
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return leaves(node.executedPlan())
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            return leaves(node.plan())
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            metrics = node.metrics()
+            read = lambda name: metrics.apply(name).value() if metrics.contains(name) else 0
+            return [{"partitions": read("numPartitions"), "rows": read("numOutputRows")}]
+        children = node.children()
+        return [x for i in range(children.size()) for x in leaves(children.apply(i))]
+
+    def run(df):
+        execution = df._jdf.queryExecution()
+        execution.executedPlan().executeCollect()
+        return leaves(execution.executedPlan())
+
+    return run

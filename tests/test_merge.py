@@ -352,3 +352,12 @@ def test_stream_with_a_partition_adds_each_key_once(spark, rows, tmp_path):
         stream = spark.readStream.schema(schema).parquet(landed)
         stream_insert_if_absent(stream, path, "id", str(tmp_path / f"c{run}"), partition="day").awaitTermination()
     assert rows(spark.read.schema(schema).parquet(path), "id", "what") == [(1, "known"), (2, "new"), (3, "new")]
+
+
+def test_far_apart_partitions_leave_those_between_unread(spark, tmp_path, scanned):
+    path = str(tmp_path / "t")
+    spark.range(400).withColumn("day", F.col("id").cast("int")).write.partitionBy("day").parquet(path)
+    target = spark.read.schema("id bigint, day int").parquet(path)
+    source = spark.createDataFrame([(0, 0), (399, 399), (5, None)], "id long, day int")
+    near = touched_partitions(target, source, "day", "day")
+    assert scanned(near) == [{"partitions": 2, "rows": 2}]
