@@ -73,29 +73,38 @@ def read_reports(
     lineage columns. A file without a row, or with several, is an error. A report is
     left out as a whole if it has a row the ``rule`` calls bad:
 
-    * ``fields``: more fields than declared. Short rows are filled with NULL, and so
-      are cells that cannot be converted;
+    * ``fields``: more fields than declared, whatever they hold. Short rows are filled with NULL,
+      and so are cells that cannot be converted;
     * ``cells``: also a cell that cannot be converted;
     * ``fail``: none is left out; such a row or cell fails the read.
 
-    The second frame has ``file_path`` and ``reason`` of each report left out.
+    The second frame has ``file_path``, ``reason`` and ``bad_rows`` of each report left out.
     """
-    extra = "__extra"
-    texts = T.StructType([T.StructField(n, T.StringType()) for n in (*schema.names, extra)])
+    # A row with more or fewer fields than declared comes with its text, from which they are
+    # counted: an empty cell and a missing one look alike among the columns.
+    record = "__record"
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in (*schema.names, record)])
     read = (
-        spark.read.schema(texts).option("header", True).option("escape", '"').csv(paths)
+        spark.read.schema(texts).option("header", True).option("escape", '"').option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", record).csv(paths)
         .withColumn("__file", plain_path(F.col("_metadata.file_path")))
     )
+    unquoted = F.regexp_replace(record, '"(?:[^"]|"")*"', "")
+    fields = F.length(F.regexp_replace(unquoted, "[^,]", "")) + 1
+    # A text that is its own first cell has one field; Spark wants another column read with the text.
+    one = F.col(f"`{schema.names[0]}`").eqNullSafe(F.col(record))
+    too_long = F.coalesce(fields > len(schema.names), F.lit(False)) & ~one
     typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
     broken = reduce(or_, [F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()
                           for f in schema.fields], F.lit(False))
-    rows = read.select("__file", *typed, F.col(extra).isNotNull().alias("__long"), broken.alias("__broken"))
+    rows = read.select("__file", *typed, too_long.alias("__long"), broken.alias("__broken"))
     verdict = rows.groupBy(F.col("__file").alias("file_path")).agg(
-        F.max("__long").alias("long"), F.max("__broken").alias("broken")
+        F.count_if("__long").alias("long"), F.count_if("__broken").alias("broken")
     )
-    cells = F.col("broken") & F.lit(rule == "cells")
-    reason = F.when(F.col("long"), "a row has too many fields").when(cells, "a cell cannot be converted")
-    rejected = verdict.select("file_path", reason.alias("reason")).filter("reason IS NOT NULL")
+    cells = (F.col("broken") > 0) & F.lit(rule == "cells")
+    reason = F.when(F.col("long") > 0, "a row has too many fields").when(cells, "a cell cannot be converted")
+    bad = F.when(F.col("long") > 0, F.col("long")).otherwise(F.col("broken"))
+    rejected = verdict.select("file_path", reason.alias("reason"), bad.alias("bad_rows")).filter("reason IS NOT NULL")
     if rule == "fail":
         rejected = rejected.limit(0)
         bad = F.raise_error(F.concat(F.lit("unreadable row in "), F.col("__file"))).cast("boolean")

@@ -18,7 +18,7 @@ from adlake.operators.merge import MergeSpec, absent_rows, merge_into_partitions
 
 
 @contextmanager
-def _kept(batch: DataFrame) -> Iterator[DataFrame]:
+def kept(batch: DataFrame) -> Iterator[DataFrame]:
     """The batch, read from its source once although the sink uses it repeatedly."""
     rows = batch.persist()
     try:
@@ -42,7 +42,7 @@ def stream_insert_if_absent(
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         target = batch.sparkSession.read.schema(batch.schema).parquet(path)
-        with _kept(batch) as rows:
+        with kept(batch) as rows:
             if partition is None:
                 absent_rows(target, rows, key).write.mode("append").parquet(path)
                 return
@@ -64,7 +64,7 @@ def stream_merge(
     """MERGE every micro-batch into a Parquet table partitioned by a key column."""
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        with _kept(batch) as rows:
+        with kept(batch) as rows:
             merge_into_partitions(batch.sparkSession, path, rows, spec, partition)
 
     return (
