@@ -12,14 +12,18 @@ from adlake.functions.schema import conform
 from adlake.session import scratch_path
 
 
+CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", delimiter: str = ",") -> None:
     """CSV with a header, no index. One folder of part files, each with the header.
 
-    Parts are written side by side; a sorted frame gives parts in sort order.
+    Parts are written side by side; a sorted frame gives parts in sort order. Times keep
+    their microseconds.
     """
-    df.write.mode(mode).option("header", True).option("sep", delimiter).option(
-        "escape", '"'
-    ).csv(path)
+    writer = df.write.mode(mode).option("header", True).option("sep", delimiter).option("escape", '"')
+    zoned, plain = f"{CSV_TIME}XXX", CSV_TIME
+    writer.option("timestampFormat", zoned).option("timestampNTZFormat", plain).csv(path)
 
 
 def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -8,13 +8,14 @@ The checkpoint belongs in the folder ``spark.checkpoint.dir`` names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from adlake.operators.merge import MergeSpec, absent_rows, merge_into_partitions, touched_partitions
+from adlake.sources.keyed import insert_keyed
 
 
 @contextmanager
@@ -58,6 +59,23 @@ def stream_insert_if_absent(
     )
 
 
+def stream_insert_keyed(
+    stream: DataFrame, path: str, key: str, checkpoint: str, partition_by: Sequence[str] = (), **trigger,
+) -> StreamingQuery:
+    """``stream_insert_if_absent`` for a table of ``write_keyed``: its Bloom filters answer the batch's keys."""
+
+    def load(batch: DataFrame, _batch_id: int) -> None:
+        with kept(batch) as rows:
+            insert_keyed(rows, path, key, partition_by)
+
+    return (
+        stream.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def stream_merge(
     stream: DataFrame, path: str, spec: MergeSpec, partition: str, checkpoint: str, **trigger,
 ) -> StreamingQuery:

@@ -95,7 +95,7 @@ def _reports(t: Tables) -> tuple[DataFrame, DataFrame]:
     group = F.when(balance < 2000, 0).when(balance < 6000, 1).otherwise(2)
     for number in range(3):
         part = t.supplier.filter(group == number).select(F.concat_ws(",", "s_suppkey", "s_acctbal", *[F.lit("x")] * (number == 2)).alias("s_suppkey,s_acctbal"))
-        part.coalesce(1).write.option("header", True).option("quote", "").csv(f"{base}/of {number}")
+        part.write.option("header", True).option("quote", "").csv(f"{base}/of {number}")
     files = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(base)
     path = F.regexp_replace("path", "^file:/+", "/")
     number = F.regexp_extract("path", "of (\\d)/", 1).cast("long")
@@ -123,7 +123,7 @@ def report_union_lineage(t: Tables) -> DataFrame:
     """SELECT DISTINCT '2' AS report, 'a row has too many fields' AS reason FROM supplier WHERE s_acctbal >= 6000""",
 )
 def report_rejects(t: Tables) -> DataFrame:
-    return _reports(t)[1].select(F.regexp_extract("file_path", "of (\\d)/", 1).alias("report"), "reason")
+    return _reports(t)[1].select(F.regexp_extract("file_path", "of (\\d)/", 1).alias("report"), "reason").distinct()
 
 
 @query(
