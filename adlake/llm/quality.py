@@ -1,14 +1,16 @@
 """Quality rules: counts of each text, and an n-gram perplexity with bands for each language.
 
-The model is a modified Kneser-Ney 4-gram model over 32 symbols (a-z, white space,
-digit, non-ASCII, symbol, other), counted by Spark over all texts. So small an
-alphabet bounds it: at most 2 ** 20 grams, kept in sorted arrays of gram codes with
-their probabilities and back-off weights and broadcast. (Grams of words would need
-a shuffle larger than the texts.) Bands come from the distribution of all texts of
-a language: text far less or far more predictable than that is rejected.
-
-Verdicts come from a model and bands in which each text counts once, however many
-copies it has; else the copies of one text could move both until they fit no other.
+The model is a modified Kneser-Ney model over grams of five characters, counted and estimated by
+Spark over all texts: every gram is kept, so the model grows with the texts. Characters are code
+points; only letters A-Z (as a-z), digits (as one) and white space (as one) are merged. The model
+is stored as arrays of gram hashes, sorted, with their log probabilities. It is dealt by
+hash into slices of a bounded size; each is broadcast on its own, and the texts are read once for
+each slice, to which a text's score adds what its grams in there weigh. (One slice up to some
+two million grams; the grams of a language's words grow ever more slowly.)
+
+Each text counts once, however many copies it has; else the copies of one text could move the
+model and the bands until they fit no other. Bands come from the distribution of all texts of a
+language: text far less or far more predictable than that is rejected.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,9 +31,14 @@ from adlake.llm.decontaminate import MAP_BITS, bit_map
 from adlake.operators.relational import join_reduced
 from adlake.sources.writers import stage
 
-ORDER = 4
-BITS = 5
+ORDER = 5
+# What stands before a text's first character.
+START = "\x02"
+# Characters that are worked on at a time, and different grams that a task holds before it passes them on.
 PIECE = 1 << 20
+HELD_GRAMS = 1 << 21
+# Grams of a slice on average: 12 bytes each, and 4 for the index.
+SLICE = 1 << 21
 WHITE = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
 REPEAT = 8
@@ -43,133 +50,187 @@ STEPS = 1024
 BELOW = ABOVE = 4.0
 LEAST_WIDTH = 0.02
 SHORT_TEXT = 3.0
+IS_WHITE = np.isin(np.arange(256), list(WHITE))
+IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
 
 
-def _alphabet() -> np.ndarray:
-    """Symbol of each byte; 0 is the start of a text, 255 a leading byte, which is skipped."""
-    table = np.full(256, 31, np.uint8)
-    table[65:91] = table[97:123] = np.arange(1, 27)
-    table[list(WHITE)] = 27
-    table[48:58] = 28
-    table[128:192] = 29
-    table[192:] = 255
-    table[list(SYMBOLS)] = 30
+def _merged() -> np.ndarray:
+    """What each ASCII character counts as."""
+    table = np.arange(128, dtype=np.uint32)
+    table[65:91] += 32
+    table[48:58] = 48
+    table[list(WHITE)] = 32
     return table
 
 
-ALPHABET = _alphabet()
-IS_WHITE = np.isin(np.arange(256), list(WHITE))
-IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
+MERGED = _merged()
 
 
-def gram_codes(blob: bytes) -> Iterator[np.ndarray]:
-    """Codes of the grams that end at each symbol of a text, a piece at a time."""
-    before = np.zeros(ORDER - 1, np.uint8)
-    for at in range(0, len(blob), PIECE):
-        symbols = ALPHABET[np.frombuffer(blob, np.uint8, min(PIECE, len(blob) - at), at)]
-        run = np.concatenate([before, symbols[symbols != 255]])
+def symbols(text: str) -> Iterator[np.ndarray]:
+    """The symbols of a text with the ORDER - 1 before them, a piece at a time."""
+    before = np.full(ORDER - 1, ord(START), np.uint32)
+    for at in range(0, len(text), PIECE):
+        points = np.frombuffer(text[at : at + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)
+        ascii_only = points < 128
+        run = np.concatenate([before, np.where(ascii_only, MERGED[np.where(ascii_only, points, 0)], points)])
         before = run[-(ORDER - 1) :]
-        n = len(run) - ORDER + 1
-        codes = np.zeros(n, np.int32)
-        for j in range(ORDER):
-            codes = codes << BITS | run[j : j + n]
-        yield codes
+        yield run
+
+
+def hashes(run: np.ndarray) -> np.ndarray:
+    """64-bit hashes of all grams of a run of symbols."""
+    n = len(run) - ORDER + 1
+    found = np.zeros(n, np.uint64)
+    wide = run.astype(np.uint64)
+    for j in range(ORDER):
+        found = (found ^ wide[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
+        found ^= found >> np.uint64(32)
+    return found * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def grams_of(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The different grams of some runs as rows of symbols, and how often each occurs."""
+    found = np.concatenate([hashes(r) for r in runs])
+    rows = np.concatenate([np.lib.stride_tricks.sliding_window_view(r, ORDER) for r in runs])
+    _, first, counts = np.unique(found, return_index=True, return_counts=True)
+    return rows[first], counts
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << BITS * ORDER, np.int64)
+    """Grams and counts of a task, each gram once unless the task meets more than it may hold."""
+    seen = {"hash": np.zeros(0, np.uint64), "rows": np.zeros((0, ORDER), np.uint32), "n": np.zeros(0, np.int64)}
     waiting: list[np.ndarray] = []
     size = 0
+
+    def settle() -> None:
+        nonlocal seen, waiting, size
+        if not waiting:
+            return
+        rows, counts = grams_of(waiting)
+        rows, counts = np.concatenate([seen["rows"], rows]), np.concatenate([seen["n"], counts])
+        keys = hashes(rows.reshape(-1))[::ORDER] if len(rows) else np.zeros(0, np.uint64)
+        unique, first, place = np.unique(keys, return_index=True, return_inverse=True)
+        seen = {"hash": unique, "rows": rows[first], "n": np.bincount(place, counts, len(unique)).astype(np.int64)}
+        waiting, size = [], 0
+
+    def passed_on() -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(seen["n"]), 1 << 16):
+            some = np.ascontiguousarray(seen["rows"][at : at + (1 << 16)])
+            whole = some.tobytes().decode("utf-32-le", "surrogatepass")
+            grams = [whole[i : i + ORDER] for i in range(0, len(whole), ORDER)]
+            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(seen["n"][at : at + (1 << 16)])], names=["gram", "n"])
+
     for batch in batches:
         for text in batch.column(0):
-            for codes in gram_codes((text.as_py() or "").encode()):
-                waiting.append(codes)
-                size += len(codes)
+            for run in symbols(text.as_py() or ""):
+                waiting.append(run)
+                size += len(run)
                 if size > 2 * PIECE:
-                    total += np.bincount(np.concatenate(waiting), minlength=len(total))
-                    waiting, size = [], 0
-    if waiting:
-        total += np.bincount(np.concatenate(waiting), minlength=len(total))
-    codes = np.flatnonzero(total)
-    for at in range(0, len(codes), 1 << 16):
-        some = codes[at : at + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["code", "n"])
+                    settle()
+                    if len(seen["n"]) > HELD_GRAMS:
+                        yield from passed_on()
+                        seen = {k: v[:0] for k, v in seen.items()}
+    settle()
+    yield from passed_on()
 
 
-@dataclass(frozen=True)
-class Level:
-    """The seen grams of one length: sorted codes, log probabilities; sorted contexts and log back-off weights."""
+def discounts(found: list[int]) -> list[float]:
+    """Modified Kneser-Ney discounts for counts of 1, 2 and 3 or more, from how many grams have counts of 1 to 4."""
+    if min(found) == 0:
+        return [0.5, 0.75, 0.75]
+    y = found[0] / (found[0] + 2 * found[1])
+    plain = [i + 1 - (i + 2) * y * found[i + 1] / found[i] for i in range(3)]
+    return [min(max(d, 0.1), i + 0.9) for i, d in enumerate(plain)]
 
-    codes: np.ndarray
-    logs: np.ndarray
-    contexts: np.ndarray
-    weights: np.ndarray
-
-
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """Modified Kneser-Ney discounts for counts of 0, 1, 2 and 3 or more."""
-    n = [np.count_nonzero(counts == i) for i in range(1, 5)]
-    if min(n) == 0:
-        return np.array([0.0, 0.5, 0.75, 0.75])
-    y = n[0] / (n[0] + 2 * n[1])
-    found = [i + 1 - (i + 2) * y * n[i + 1] / n[i] for i in range(3)]
-    return np.array([0.0, *(min(max(d, 0.1), i + 0.9) for i, d in enumerate(found))])
-
-
-def estimate(codes: np.ndarray, counts: np.ndarray) -> list[Level]:
-    """Interpolated probabilities of all orders, lowest first; lower orders count distinct predecessors."""
-    size = 1 << BITS
-    table = np.zeros(size**ORDER, np.int64)
-    table[codes] = counts
-    tables = [table]
+
+def estimate(counts: DataFrame) -> DataFrame:
+    """``gram`` and its interpolated ``probability``, from counts of grams of the highest order.
+
+    Lower orders count the different characters before a gram. A window holds the grams with one
+    context: no more rows than there are characters.
+    """
+    tables = [stage(counts, "grams")]
     for order in range(ORDER - 1, 0, -1):
-        tables.append((tables[-1].reshape(size, size**order) > 0).sum(axis=0))
-    below = np.full(size, 1 / size)
-    levels = []
+        shorter = tables[-1].groupBy(F.substring("gram", 2, order).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        tables.append(stage(shorter, "grams"))
+    below = None
     for order, table in enumerate(reversed(tables), 1):
-        rows = table.reshape(-1, size)
-        d = discounts(table)
-        cut = d[np.minimum(rows, 3)]
-        total = np.maximum(rows.sum(axis=1), 1)
-        weight = np.where(rows.sum(axis=1) > 0, cut.sum(axis=1) / total, 1.0)
-        lower = np.tile(below.reshape(-1, size), (len(rows) // (len(below) // size), 1)) if order > 1 else below[None, :]
-        probability = ((rows - cut) / total[:, None] + weight[:, None] * lower).ravel()
-        seen, known = np.flatnonzero(table), np.flatnonzero(rows.sum(axis=1))
-        levels.append(Level(
-            seen.astype(np.int32), np.log(np.maximum(probability[seen], 1e-12)).astype(np.float32),
-            known.astype(np.int32), np.log(np.maximum(weight[known], 1e-12)).astype(np.float32),
-        ))
-        below = probability
-    return levels
-
-
-def _at(sorted_codes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(sorted_codes, wanted), max(0, len(sorted_codes) - 1))
-    return at, sorted_codes[at] == wanted if len(sorted_codes) else np.zeros(len(wanted), bool)
-
-
-def log_sum(levels: list[Level], codes: np.ndarray) -> float:
-    """Sum of the log probabilities of grams; an unseen one backs off to shorter ones."""
-    total = 0.0
-    for order in range(ORDER, 0, -1):
-        level = levels[order - 1]
-        at, found = _at(level.codes, codes)
-        total += float(level.logs[at[found]].sum(dtype=np.float64)) if len(level.codes) else 0.0
-        codes = codes[~found]
-        if not len(codes):
-            return total
-        at, known = _at(level.contexts, codes >> BITS)
-        if len(level.contexts):
-            total += float(level.weights[at[known]].sum(dtype=np.float64))
-        codes = codes & (1 << BITS * (order - 1)) - 1
-    return total - len(codes) * BITS * float(np.log(2))
-
-
-def language_model(docs: DataFrame, text: str = "text") -> list[Level]:
-    """Count all texts and estimate; at most 2 ** 20 counts come to the driver."""
-    counted = docs.select(F.col(text)).mapInArrow(_count_grams, "code int, n bigint")
-    rows = counted.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
-    return estimate(rows.column("code").to_numpy(), rows.column("n").to_numpy())
+        seen = table.agg(*[F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4)], F.count(F.lit(1)).alias("all")).first()
+        d = discounts(list(seen[:4]))
+        context = Window.partitionBy(F.substring("gram", 1, order - 1))
+        cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+        rows = table.withColumn("cut", cut).withColumns({"total": F.sum("n").over(context), "cuts": F.sum("cut").over(context)})
+        own, weight = (F.col("n") - F.col("cut")) / F.col("total"), F.col("cuts") / F.col("total")
+        if below is None:
+            below = rows.select("gram", (own + weight / F.lit(max(seen["all"], 1))).alias("probability"))
+            continue
+        shorter = below.toDF("__shorter", "__lower")
+        joined = rows.join(shorter, F.substring("gram", 2, order - 1) == F.col("__shorter"))
+        below = joined.select("gram", (own + weight * F.col("__lower")).alias("probability"))
+    return below
+
+
+@dataclass(frozen=True)
+class Slice:
+    """The grams whose hashes lie from ``low`` to ``high``: sorted hashes, log probabilities, and where each range of hashes begins."""
+
+    low: int
+    high: int
+    hashes: np.ndarray
+    logs: np.ndarray
+    shift: int
+    begins: np.ndarray
+
+    @classmethod
+    def made(cls, low: int, high: int, found: np.ndarray, logs: np.ndarray) -> Slice:
+        order = np.argsort(found)
+        found, logs = found[order], logs[order].astype(np.float32)
+        shift = max(0, (high - low).bit_length() - max(1, len(found)).bit_length())
+        ranges = ((found - np.uint64(low)) >> np.uint64(shift)).astype(np.int64)
+        begins = np.searchsorted(ranges, np.arange(((high - low) >> shift) + 2)).astype(np.int32)
+        return cls(low, high, found, logs, shift, begins)
+
+    def log_sum(self, wanted: np.ndarray) -> float:
+        """What the grams of this slice weigh; all grams that are scored have been counted."""
+        wanted = wanted[(wanted >= np.uint64(self.low)) & (wanted <= np.uint64(self.high))]
+        ranges = ((wanted - np.uint64(self.low)) >> np.uint64(self.shift)).astype(np.int64)
+        at, end = self.begins[ranges], self.begins[ranges + 1]
+        total = 0.0
+        while len(wanted):
+            alive = at < end
+            if not alive.all():
+                raise ValueError("a gram was not counted: the texts have changed since")
+            hit = self.hashes[at] == wanted
+            total += float(self.logs[at[hit]].sum(dtype=np.float64))
+            wanted, at, end = wanted[~hit], at[~hit] + 1, end[~hit]
+        return total
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        whole = "".join(batch.column("gram").to_pylist()).encode("utf-32-le", "surrogatepass")
+        found = hashes(np.frombuffer(whole, np.uint32))[::ORDER] if whole else np.zeros(0, np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), batch.column("probability")], names=["hash", "probability"])
+
+
+class Model:
+    """The staged grams by hash, and how many slices they make."""
+
+    def __init__(self, texts: DataFrame, text: str = "text", size: int = 0) -> None:
+        counted = texts.select(F.col(text)).mapInArrow(_count_grams, "gram string, n bigint")
+        counts = counted.groupBy("gram").agg(F.sum("n").alias("n"))
+        self.grams = stage(estimate(counts).mapInArrow(_hashed, "hash bigint, probability double"), "model")
+        self.slices = max(1, -(-self.grams.count() // (size or SLICE)))
+
+    def slice(self, number: int) -> Slice:
+        """One slice, which is all that the driver holds at a time."""
+        bound = [(1 << 64) * i // self.slices for i in (number, number + 1)]
+        low, high = bound[0], bound[1] - 1
+        # Unsigned order by flipping the sign bit.
+        flipped = F.col("hash").bitwiseXOR(F.lit(-(1 << 63)))
+        rows = self.grams.filter(flipped.between(F.lit(low - (1 << 63)), F.lit(high - (1 << 63)))).toArrow()
+        found = rows.column("hash").to_numpy().view(np.uint64)
+        return Slice.made(low, high, found, np.log(np.maximum(rows.column("probability").to_numpy(), 1e-12)))
 
 
 def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -225,35 +286,67 @@ def text_counts(blob: bytes) -> tuple[int, int, int, int, int]:
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-SCORES = T.StructType(
-    [T.StructField(c, T.LongType()) for c in (*COUNTS, "n_grams")]
-    + [T.StructField(c, T.DoubleType()) for c in ("log_perplexity", "judged")]
-)
+SCORES = T.StructType([T.StructField(c, T.LongType()) for c in (*COUNTS, "n_grams")] + [T.StructField("total", T.DoubleType())])
 
 
-def scores(models_shared):
-    """A column function: the counts of a text and its log perplexity; NULL counts as empty, whose perplexity is NULL.
+def scores(shared):
+    """A column function: the counts of a text, its grams, and what those of one slice weigh; NULL counts as empty.
 
-    ``judged`` is by the first model, ``log_perplexity`` by the last one. It is declared
-    not deterministic, so that no plan computes it twice, once for a filter moved below
-    and once for the column.
+    It is declared not deterministic, so that no plan computes it twice, once for a filter
+    moved below and once for the column.
     """
 
     @F.pandas_udf(SCORES)
     def score(texts: pd.Series) -> pd.DataFrame:
-        models, rows = models_shared.value, []
+        model, rows = shared.value, []
         for text in texts:
-            blob = (text or "").encode()
-            totals, n = [0.0] * len(models), 0
-            for codes in gram_codes(blob):
-                totals = [total + log_sum(levels, codes) for total, levels in zip(totals, models, strict=True)]
-                n += len(codes)
-            rows.append((*text_counts(blob), n, *(-total / n if n else None for total in (totals[-1], totals[0]))))
+            total, n = 0.0, 0
+            for run in symbols(text or ""):
+                found = hashes(run)
+                total += model.log_sum(found)
+                n += len(found)
+            rows.append((*text_counts((text or "").encode()), n, total))
         return pd.DataFrame(rows, columns=SCORES.names)
 
     return score.asNondeterministic()
 
 
+def weights(shared):
+    """A column function: what a text's grams in one slice weigh."""
+
+    @F.pandas_udf(T.DoubleType())
+    def weight(texts: pd.Series) -> pd.Series:
+        model = shared.value
+        return pd.Series([sum(model.log_sum(hashes(run)) for run in symbols(t or "")) for t in texts], dtype=float)
+
+    return weight.asNondeterministic()
+
+
+def scored_rows(docs: DataFrame, model: Model, columns: dict[str, Column], text: str = "text") -> DataFrame:
+    """``columns`` of each row with its text's ``hash`` and ``score``: the counts, ``n_grams`` and ``judged`` (log perplexity)."""
+    context = docs.sparkSession.sparkContext
+    named = [c.alias(n) for n, c in columns.items()]
+    first = scores(context.broadcast(model.slice(0)))
+    rows = stage(docs.select(*named, text_hash(text).alias("hash"), first(F.col(text)).alias("score")), "scores")
+    total = F.col("score.total")
+    if model.slices > 1:
+        parts = []
+        for number in range(1, model.slices):
+            weight = weights(context.broadcast(model.slice(number)))
+            part = docs.select(text_hash(text).alias("__hash"), weight(F.col(text)).alias("__total"))
+            parts.append(stage(part.groupBy("__hash").agg(F.first("__total").alias("__total")), "scores"))
+        rest = parts[0]
+        for part in parts[1:]:
+            rest = rest.unionByName(part)
+        sums = rest.groupBy("__hash").agg(F.sum("__total").alias("__total"))
+        rows = stage(join_reduced(rows, sums, {"hash": "__hash"}, "left"), "scores")
+        total = total + F.col("__total")
+    n = F.col("score.n_grams")
+    judged = F.when(n > 0, -total / n)
+    fields = [F.col(f"score.{c}").alias(c) for c in (*COUNTS, "n_grams")]
+    return rows.select(*columns, "hash", F.struct(*fields, judged.alias("judged")).alias("score"))
+
+
 def base_failed(score: Column) -> Column:
     repeats = 100 * score["n_repeat_words"] > MAX_REPEAT_PERCENT * score["n_words"]
     return (score["n_words"] < MIN_WORDS) | repeats
@@ -291,35 +384,26 @@ def verdicts(scored: DataFrame, limits: DataFrame) -> DataFrame:
 def quality(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """For each row its id, the counts, ``log_perplexity``, ``base_failed`` and ``kept``.
 
-    NULL texts count as empty: no words, so they fail. NULL languages form a
-    language. Repeated rows each give a row and count each time in ``log_perplexity``;
-    ``kept`` comes from a model and bands in which each distinct text counts once. Other
+    NULL texts count as empty: no words, so they fail, and no perplexity. NULL languages form a
+    language. Repeated rows each give a row; model and bands take each distinct text once. Other
     columns are not read; an empty table gives no row.
     """
-    models = [language_model(distinct_texts(docs, text)), language_model(docs, text)]
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    scored = stage(
-        docs.select(
-            F.col(doc).alias("doc"), F.col(lang).alias("lang"), text_hash(text).alias("hash"), scores(shared)(F.col(text)).alias("score")
-        ),
-        "quality",
-    )
+    model = Model(distinct_texts(docs, text))
+    scored = scored_rows(docs, model, {"doc": F.col(doc), "lang": F.col(lang)}, text)
     return verdicts(scored, bands(scored)).select(
-        F.col("doc").alias(doc), *[F.col("score")[c].alias(c) for c in (*COUNTS, "n_grams", "log_perplexity")], "base_failed", "kept"
+        F.col("doc").alias(doc), *[F.col("score")[c].alias(c) for c in (*COUNTS, "n_grams")],
+        F.col("score.judged").alias("log_perplexity"), "base_failed", "kept",
     )
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents that ``quality`` keeps, with all their columns.
 
-    Texts are scored twice, for the bands and for the verdict: that is cheaper than
-    shuffling them to meet their verdicts.
+    A verdict depends on text and language only, so the rejected pairs of these, each once, are
+    what the documents are compared with.
     """
-    shared = docs.sparkSession.sparkContext.broadcast([language_model(distinct_texts(docs, text))])
-    score = scores(shared)
-    limits = stage(
-        bands(docs.select(F.col(lang).alias("lang"), text_hash(text).alias("hash"), score(F.col(text)).alias("score"))), "bands"
-    )
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    scored = docs.select(row, F.col(lang).alias("lang"), score(F.col(text)).alias("score"))
-    return verdicts(scored, limits).filter("kept").select("__row.*")
+    scored = scored_rows(docs, Model(distinct_texts(docs, text)), {"lang": F.col(lang)}, text)
+    judged = verdicts(scored, bands(scored))
+    bad = stage(judged.filter("NOT kept").select(F.col("lang").alias("__lang"), F.col("hash").alias("__hash")).distinct(), "rejected")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(lang).alias("lang"), text_hash(text).alias("hash"))
+    return join_reduced(rows, bad, {"lang": "__lang", "hash": "__hash"}, "left_anti", null_safe=True).select("__row.*")

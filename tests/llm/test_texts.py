@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -82,14 +83,22 @@ def test_quality_counts(both_docs):
     assert got == want
 
 
+def run_of(text):
+    """A text's symbols behind the start marks, one by one."""
+    out = ["\x02"] * 4
+    for c in text or "":
+        out.append(" " if c in " \t\n\x0b\x0c\r" else "0" if c in "0123456789" else c.lower() if "A" <= c <= "Z" else c)
+    return tuple(out)
+
+
 def slow_model(texts):
     """Interpolated modified Kneser-Ney with dictionaries, straight from the definition."""
     grams = Counter()
     for text in texts:
-        run = (0,) * 3 + tuple(int(s) for s in quality.ALPHABET[list((text or "").encode())] if s != 255)
-        grams.update(run[i : i + 4] for i in range(len(run) - 3))
-    tables = {4: grams}
-    for order in (3, 2, 1):
+        run = run_of(text)
+        grams.update(run[i : i + 5] for i in range(len(run) - 4))
+    tables = {5: grams}
+    for order in (4, 3, 2, 1):
         tables[order] = Counter(g[1:] for g in tables[order + 1])
     d = {}
     for order, table in tables.items():
@@ -107,43 +116,113 @@ def slow_model(texts):
 
     def p(gram):
         if not gram:
-            return 1 / 32
+            return 1 / len(tables[1])
         context, order = gram[:-1], len(gram)
-        if context not in sums:
-            return p(gram[1:])
-        c = tables[order].get(gram, 0)
+        c = tables[order][gram]
         return (c - d[order][min(c, 3)]) / sums[context] + cuts[context] / sums[context] * p(gram[1:])
 
     return p
 
 
-def test_perplexity_is_kneser_ney(both_docs):
-    rows = both_docs.collect()
-    p = slow_model([r.text for r in rows])
+def slow_perplexity(p, text):
+    run = run_of(text)
+    logs = [math.log(p(run[i : i + 5])) for i in range(len(run) - 4)]
+    return -sum(logs) / len(logs) if logs else None
+
+
+@pytest.fixture(scope="module")
+def quality_rows(both_docs):
+    return [(r.doc_id, r.lang, r.text or "") for r in both_docs.collect()]
+
+
+@pytest.mark.parametrize("size", [1 << 21, 3000])
+def test_perplexity_is_kneser_ney_over_distinct_texts(both_docs, quality_rows, monkeypatch, size):
+    """Whether the model is one slice or many."""
+    monkeypatch.setattr(quality, "SLICE", size)
+    p = slow_model({t for *_, t in quality_rows})
     known = {}
-    for r in rows:
-        run = (0,) * 3 + tuple(int(s) for s in quality.ALPHABET[list((r.text or "").encode())] if s != 255)
-        logs = [math.log(p(run[i : i + 4])) for i in range(len(run) - 3)]
-        known.setdefault(r.doc_id, []).append(-sum(logs) / len(logs) if logs else None)
+    for doc, _, text in quality_rows:
+        known.setdefault(doc, []).append(slow_perplexity(p, text))
     for r in quality.quality(both_docs).collect():
         assert any(r.log_perplexity == w if w is None else r.log_perplexity == pytest.approx(w, abs=1e-4) for w in known[r.doc_id])
 
 
-def test_unseen_grams_back_off():
-    codes = np.concatenate(list(quality.gram_codes(b"the cat sat on the mat and the hat " * 20)))
-    levels = quality.estimate(*np.unique(codes, return_counts=True))
-    p = slow_model(["the cat sat on the mat and the hat " * 20])
-    new = np.concatenate(list(quality.gram_codes(b"qwx 77 the zebra")))
-    run = (0,) * 3 + tuple(int(s) for s in quality.ALPHABET[list(b"qwx 77 the zebra")])
-    want = sum(math.log(p(run[i : i + 4])) for i in range(len(run) - 3))
-    assert quality.log_sum(levels, new) == pytest.approx(want, abs=1e-3)
-
+def test_kept_equals_plain_bands(both_docs, quality_rows):
+    p = slow_model({t for *_, t in quality_rows})
+    score = {t: slow_perplexity(p, t) for *_, t in quality_rows}
+    counts = {t: slow_counts(t) for *_, t in quality_rows}
+    failed = {t: c[0] < 20 or 100 * c[4] > 30 * c[0] for t, c in counts.items()}
+    limits = {}
+    for lang in {x for _, x, _ in quality_rows}:
+        steps = [math.floor(score[t] * 1024 + 0.5) for t in {t for _, x, t in quality_rows if x == lang} if not failed[t] and score[t] is not None]
+        if steps:
+            q = np.percentile(steps, [25, 50, 75]) / 1024
+            limits[lang] = q[1] - 4 * max(q[1] - q[0], 0.02), q[1] + 4 * max(q[2] - q[1], 0.02)
+    want = Counter()
+    for doc, lang, text in quality_rows:
+        kept = not failed[text]
+        if kept and lang in limits:
+            slack = 3 / math.sqrt(max(1, len(text)))
+            kept = limits[lang][0] - slack <= score[text] <= limits[lang][1] + slack
+        want[doc, kept] += 1
+    assert Counter((r.doc_id, r.kept) for r in quality.quality(both_docs).collect()) == want
+
+
+def test_pieces_and_full_tasks_do_not_change_counts(monkeypatch, test_docs):
+    texts = ["Ünï côdé und Wörter 😀 12 " * 30, "", None, "ab"] + [r.text for r in test_docs.limit(20).collect()]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 5], pa.string())], names=["text"]) for i in range(0, len(texts), 5)]
+
+    def counted():
+        found = Counter()
+        for batch in quality._count_grams(iter(batches)):
+            for gram, n in zip(batch.column("gram").to_pylist(), batch.column("n").to_pylist()):
+                found[tuple(gram)] += n
+        return found
 
-def test_pieces_do_not_change_codes(monkeypatch):
-    text = ("Ünï côdé und Wörter " * 50).encode()
-    whole = np.concatenate(list(quality.gram_codes(text)))
+    want = Counter()
+    for text in texts:
+        run = run_of(text)
+        want.update(run[i : i + 5] for i in range(len(run) - 4))
+    assert counted() == want
     monkeypatch.setattr(quality, "PIECE", 7)
-    assert (np.concatenate(list(quality.gram_codes(text))) == whole).all()
+    monkeypatch.setattr(quality, "HELD_GRAMS", 50)
+    assert counted() == want
+
+
+def test_a_slice_finds_every_hash_and_only_its_own():
+    rng = np.random.default_rng(1)
+    found = np.unique(rng.integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2))
+    logs = -np.arange(1, len(found) + 1, dtype=float)
+    low, high = 1 << 62, (1 << 63) - 1
+    mine = (found >= low) & (found <= high)
+    part = quality.Slice.made(low, high, found[mine][::-1], logs[mine][::-1])
+    assert part.log_sum(found) == pytest.approx(logs[mine].sum(), rel=1e-6)
+    with pytest.raises(ValueError):
+        part.log_sum(np.array([low + 12345], np.uint64))
+    assert quality.Slice.made(0, (1 << 64) - 1, np.array([7], np.uint64), np.array([-2.0])).log_sum(np.array([7, 7], np.uint64)) == -4
+
+
+def test_gibberish_goes_in_every_script_and_clean_texts_stay(spark):
+    """Random letters in the shape of the texts, Latin and Cyrillic; the Cyrillic texts are the Latin ones, letter for letter."""
+    random.seed(2)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [r for r in docs.collect() if r.lang in ("en", "de")]
+    cyrillic = str.maketrans("abcdefghijklmnopqrstuvwxyz", "абцдефгхийклмнопярстувжьыз")
+    told = [(r.doc_id, r.text, r.lang) for r in rows] + [(10**6 + r.doc_id, r.text.lower().translate(cyrillic), "ru") for r in rows if r.lang == "en"]
+    picked = [t for t in told if len(t[1].split()) > 80]
+    junk = {"en": "abcdefghijklmnopqrstuvwxyz", "de": "abcdefghijklmnopqrstuvwxyz", "ru": "абцдефгхийклмнопярстувжьыз"}
+    mangled = []
+    for lang, letters in junk.items():
+        for doc, text, _ in [t for t in picked if t[2] == lang][:25]:
+            mangled.append((-1 - len(mangled), "".join(random.choice(letters) if c.isalpha() else c for c in text), lang))
+    judged = {r.doc_id: r for r in quality.quality(spark.createDataFrame(told + mangled, "doc_id long, text string, lang string")).collect()}
+    # The model has counted the gibberish too, which speaks for it: not all of it need go.
+    assert sum(judged[m[0]].kept for m in mangled) <= 0.05 * len(mangled)
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").filter("quality = 1 AND toxic = 0")
+    clean = {r.doc_id for r in labels.collect()}
+    stay = [judged[t[0]] for t in told if t[0] % 10**6 in clean]
+    stay = [r.kept for r in stay if not r.base_failed]
+    assert len(stay) > 100 and sum(stay) >= 0.99 * len(stay), (sum(stay), len(stay))
 
 
 def test_keep_good_is_the_verdict(spark, both_docs):
