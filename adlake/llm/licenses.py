@@ -22,20 +22,38 @@ from pyspark.sql import functions as F
 LEAST = 0.8
 
 # Short public licence notices, by SPDX identifier.
-TEMPLATES = {
+NOTICES = {
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+    "BSD-2-Clause": "Licensed under the BSD 2-Clause License.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "BSD-3-Clause-short": "Licensed under the BSD 3-Clause License.",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "LGPL-2.1": "GNU Lesser General Public License version 2.1",
+    "LGPL-3.0": "GNU Lesser General Public License version 3",
     "MIT": "Released under the MIT License.",
+    "MIT-licensed": "Licensed under the MIT License.",
     "MIT-notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
+    "MIT-terms": "Licensed under the terms of the MIT license.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+# Identifiers that files name in a tag.
+TAGGED = (
+    "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-NC-4.0",
+    "CC-BY-SA-4.0", "EPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only",
+    "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense", "Zlib",
+)
+TEMPLATES = {**NOTICES, **{f"{name}-tag": f"SPDX-License-Identifier: {name}" for name in TAGGED}}
 
 
 def words(text: str) -> list[str]:
@@ -113,6 +131,8 @@ class Scanner:
         pairs = list(zip(flat, flat[1:]))
         hits: dict[int, list[int]] = defaultdict(list)
         having = self.having
+        # No match of a template is longer, so what is covered further on does not matter.
+        reach = [int(size / self.ratio + 1e-9) + 3 for size in self.sizes]
         for p, pair in enumerate(pairs):
             if pair in having and not covered[p] and not covered[p + 1]:
                 for t in having[pair]:
@@ -120,7 +140,7 @@ class Scanner:
 
         def found(t: int, at: int) -> list:
             first = hits[t][at]
-            stop = covered.find(1, first)
+            stop = covered.find(1, first, first + reach[t])
             best = self.window(pairs, hits[t], at, t, stop - 1 if stop >= 0 else len(pairs))
             return [] if best is None else [(-best[0], first - best[1], first, self.templates[t][1], t, at)]
 
@@ -164,8 +184,10 @@ class Scanner:
                 if lines[j] and (hit := self.best(run)):
                     found.append((i, j, hit[1], hit[0]))
         chosen: list[tuple[int, int, str, float]] = []
+        taken = bytearray(len(lines))
         for i, j, name, score in sorted(found, key=lambda f: (-f[3], f[1] - f[0], f[0])):
-            if all(j < a or i > b for a, b, _, _ in chosen):
+            if taken.find(1, i, j + 1) < 0:
+                taken[i : j + 1] = b"\1" * (j + 1 - i)
                 chosen.append((i, j, name, score))
         flat = [w for line in lines for w in line]
         of_word = [i for i, line in enumerate(lines) for _ in line]
