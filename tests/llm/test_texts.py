@@ -5,6 +5,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -327,11 +328,64 @@ def test_learned_spans_are_added(spark):
 def test_windows_reach_the_end_of_a_candidate():
     token = "config/prod/eu-west-1/service/database/v" + "Zq8" * 14
     found = secrets.candidates(f"see {token} now", [])
-    windows = [w[secrets.LEFT : secrets.LEFT + secrets.INSIDE] for _, _, w, _ in found]
-    assert {(s, e) for s, e, _, _ in found} == {(4, 4 + len(token))} and token[-secrets.INSIDE :] in windows
-    assert all(any(token[i : i + 30] in w for w in windows) for i in range(len(token) - 29))
-    assert [c[:2] for c in secrets.candidates("pin abc12345 and QwErTyUiOpAsDfGh, not abcdefgh", [])] == [(4, 12), (17, 33)]
-    assert {c[3] for c in secrets.candidates(token, [(0, 0, 8)])} == {True, None}
+    assert found == [(4, 4 + len(token), "see ", token, " now", False)]
+    seen = list(secrets.windows(*found[0][2:5]))
+    insides = [w[secrets.LEFT : secrets.LEFT + secrets.INSIDE] for w in seen]
+    assert token[-secrets.INSIDE :] in insides and all(len(w) == secrets.LEFT + secrets.INSIDE + secrets.RIGHT for w in seen)
+    assert all(any(token[i : i + 30] in w for w in insides) for i in range(len(token) - 29))
+    whole = "see ".rjust(secrets.LEFT, "\0") + token + " now".ljust(secrets.RIGHT, "\0")
+    assert all(w.strip("\0") in whole for w in seen)
+    assert [c[:2] for c in secrets.candidates("pin abc12345 and QwErTyUiOpAsDfGh, geHeimWort but not abcdefgh", [])] == [(4, 12), (17, 33), (35, 45)]
+    parts = secrets.candidates(token, [(0, 0, 8)])
+    assert [(c[0], c[1], c[5]) for c in parts] == [(0, 8, True), (8, len(token), False)] and parts[1][2] == "config/p"
+
+
+KEY_LETTERS = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+@pytest.mark.parametrize("findings", [0, 1, 6, 40])
+def test_hidden_secrets_are_found_at_every_size(spark, findings):
+    rng = random.Random(findings)
+    key = lambda n, of=KEY_LETTERS: "".join(rng.choice(of) for _ in range(n))
+    rows = [(i, f"some words secret: {key(40)} more words") for i in range(findings)]
+    hidden = [f"key material {key(40)} here", f"ghp_{key(36)}", f"use sk-{key(44)} for it", f"({key(32, KEY_LETTERS[:10] + 'ABCDEF')})", f"x {key(24)}\n"]
+    plain = ["id 123e4567-e89b-12d3-a456-426614174000", "see src/main/java/com/example/report/DailyReport.java", "call getElementsByTagName2 first",
+             "at 2024-01-31T10.00.00 it", "the daily_stats_by_account_2024 table", "=" * 40, "version-1.12.3-rc1 of it", "https://example.com/en/some-long-article-about-it"]
+    rows += [(1000 + i, t) for i, t in enumerate(hidden)] + [(2000 + i, t) for i, t in enumerate(plain)]
+    out = {r.doc_id: r.n_learned for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(out[1000 + i] for i in range(len(hidden))) >= 4
+    assert sum(out[2000 + i] for i in range(len(plain))) <= 1
+
+
+def test_recall_and_precision_on_unseen_kinds():
+    """Each kind of secret is left out of training and then looked for; hex in small letters is the patterns' own."""
+    fresh = secrets.made_findings(size=100, seed=99)
+    of = lambda kind, said: np.mean([s for s, (_, _, k) in zip(said, fresh) if k == kind])
+    found = {}
+    for kind in secrets.SECRET_KINDS:
+        network = secrets.train([], [], without=[kind])
+        said = network.probabilities([w for w, *_ in fresh]) >= network.threshold
+        found[kind] = of(kind, said)
+        assert np.mean([of(k, said) for k in secrets.LOOKALIKES]) <= 0.03
+    assert all(recall >= 0.9 for kind, recall in found.items() if kind != "hex"), found
+    unseen = {}
+    for kind in secrets.LOOKALIKES:
+        network = secrets.train([], [], without=[kind])
+        unseen[kind] = of(kind, network.probabilities([w for w, *_ in fresh]) >= network.threshold)
+    assert sum(v <= 0.05 for v in unseen.values()) >= 8, unseen
+
+
+def test_very_long_tokens_take_bounded_memory():
+    """A megabyte without a gap, a secret at its end: the windows are judged some at a time."""
+    network = secrets.train([], [])
+    token = "value/" * 170_000
+    tracemalloc.start()
+    rng = random.Random(8)
+    hidden = token + "".join(rng.choice(KEY_LETTERS) for _ in range(40))
+    assert secrets.passed(network, [("", token, ""), ("", hidden, "")]) == [False, True]
+    assert tracemalloc.get_traced_memory()[1] < 60e6
+    tracemalloc.stop()
+    assert len(secrets.candidates(hidden, [])) == 1
 
 
 def test_secret_behind_a_long_path_is_found(spark):
