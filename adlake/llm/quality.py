@@ -37,6 +37,8 @@ START = "\x02"
 # Characters that are worked on at a time, and different grams that a task holds before it passes them on.
 PIECE = 1 << 20
 HELD_GRAMS = 1 << 21
+# So many different symbols leave a gram below 2 ** 64.
+MOST_SYMBOLS = 7000
 # Grams of a slice on average: 12 bytes each, and 4 for the index.
 SLICE = 1 << 21
 WHITE = b" \t\n\v\f\r"
@@ -89,48 +91,80 @@ def hashes(run: np.ndarray) -> np.ndarray:
 
 
 def grams_of(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The different grams of some runs as rows of symbols, and how often each occurs."""
-    found = np.concatenate([hashes(r) for r in runs])
-    rows = np.concatenate([np.lib.stride_tricks.sliding_window_view(r, ORDER) for r in runs])
-    _, first, counts = np.unique(found, return_index=True, return_counts=True)
-    return rows[first], counts
+    """The different grams of some runs as rows of symbols, and how often each occurs.
+
+    Symbols are numbered, so that a gram is one whole number and sorting finds its copies. Runs with
+    more different symbols than that allows are halved.
+    """
+    used = np.unique(np.concatenate([np.unique(r) for r in runs])).astype(np.uint32)
+    base = len(used)
+    if base > MOST_SYMBOLS:
+        if len(runs) == 1:
+            middle = len(runs[0]) // 2
+            runs = [runs[0][: middle + ORDER - 1], runs[0][middle:]]
+        half = len(runs) // 2
+        parts = [grams_of(runs[:half]), grams_of(runs[half:])]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    number = np.zeros(int(used[-1]) + 1, np.uint64)
+    number[used] = np.arange(base, dtype=np.uint64)
+    keys = []
+    for run in runs:
+        digits = number[run]
+        n = len(run) - ORDER + 1
+        key = digits[:n].copy()
+        for j in range(1, ORDER):
+            key *= np.uint64(base)
+            key += digits[j : j + n]
+        keys.append(key)
+    whole = np.sort(np.concatenate(keys))
+    first = np.flatnonzero(np.concatenate([[True], whole[1:] != whole[:-1]])) if len(whole) else np.zeros(0, np.int64)
+    different, counts = whole[first], np.diff(np.append(first, len(whole)))
+    rows = np.empty((len(different), ORDER), np.uint32)
+    for j in range(ORDER - 1, -1, -1):
+        rows[:, j] = used[(different % np.uint64(base)).astype(np.int64)]
+        different = different // np.uint64(base)
+    return rows, counts
+
+
+def hashes_of_rows(rows: np.ndarray) -> np.ndarray:
+    return hashes(rows.reshape(-1))[::ORDER] if len(rows) else np.zeros(0, np.uint64)
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Grams and counts of a task, each gram once unless the task meets more than it may hold."""
-    seen = {"hash": np.zeros(0, np.uint64), "rows": np.zeros((0, ORDER), np.uint32), "n": np.zeros(0, np.int64)}
+    seen, n = np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)
     waiting: list[np.ndarray] = []
     size = 0
 
-    def settle() -> None:
-        nonlocal seen, waiting, size
-        if not waiting:
-            return
+    def settled() -> tuple[np.ndarray, np.ndarray]:
         rows, counts = grams_of(waiting)
-        rows, counts = np.concatenate([seen["rows"], rows]), np.concatenate([seen["n"], counts])
-        keys = hashes(rows.reshape(-1))[::ORDER] if len(rows) else np.zeros(0, np.uint64)
-        unique, first, place = np.unique(keys, return_index=True, return_inverse=True)
-        seen = {"hash": unique, "rows": rows[first], "n": np.bincount(place, counts, len(unique)).astype(np.int64)}
-        waiting, size = [], 0
+        rows, counts = np.concatenate([seen, rows]), np.concatenate([n, counts])
+        keys = hashes_of_rows(rows)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        return rows[order[first]], np.add.reduceat(counts[order], first)
 
     def passed_on() -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(seen["n"]), 1 << 16):
-            some = np.ascontiguousarray(seen["rows"][at : at + (1 << 16)])
-            whole = some.tobytes().decode("utf-32-le", "surrogatepass")
+        for at in range(0, len(n), 1 << 16):
+            whole = seen[at : at + (1 << 16)].tobytes().decode("utf-32-le", "surrogatepass")
             grams = [whole[i : i + ORDER] for i in range(0, len(whole), ORDER)]
-            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(seen["n"][at : at + (1 << 16)])], names=["gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(n[at : at + (1 << 16)])], names=["gram", "n"])
 
     for batch in batches:
         for text in batch.column(0):
             for run in symbols(text.as_py() or ""):
-                waiting.append(run)
-                size += len(run)
-                if size > 2 * PIECE:
-                    settle()
-                    if len(seen["n"]) > HELD_GRAMS:
+                if len(run) >= ORDER:
+                    waiting.append(run)
+                    size += len(run)
+                if size > 4 * PIECE:
+                    seen, n = settled()
+                    waiting, size = [], 0
+                    if len(n) > HELD_GRAMS:
                         yield from passed_on()
-                        seen = {k: v[:0] for k, v in seen.items()}
-    settle()
+                        seen, n = seen[:0], n[:0]
+    if waiting:
+        seen, n = settled()
     yield from passed_on()
 
 
@@ -172,7 +206,8 @@ def estimate(counts: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Slice:
-    """The grams whose hashes lie from ``low`` to ``high``: sorted hashes, log probabilities, and where each range of hashes begins."""
+    """The grams whose hashes lie from ``low`` to ``high``: sorted hashes less ``low``, log probabilities, and where
+    each range of hashes begins."""
 
     low: int
     high: int
@@ -185,31 +220,34 @@ class Slice:
     def made(cls, low: int, high: int, found: np.ndarray, logs: np.ndarray) -> Slice:
         order = np.argsort(found)
         found, logs = found[order], logs[order].astype(np.float32)
-        shift = max(0, (high - low).bit_length() - max(1, len(found)).bit_length())
+        # Some four ranges for each gram: most are found at once.
+        shift = max(0, (high - low).bit_length() - max(1, len(found)).bit_length() - 2)
         ranges = ((found - np.uint64(low)) >> np.uint64(shift)).astype(np.int64)
         begins = np.searchsorted(ranges, np.arange(((high - low) >> shift) + 2)).astype(np.int32)
-        return cls(low, high, found, logs, shift, begins)
+        # One more of each at the end, for lookups behind the last gram.
+        found = found - np.uint64(low)
+        return cls(low, high, np.append(found, np.uint64(0)), np.append(logs, np.float32(0)), shift, begins)
 
     def log_sum(self, wanted: np.ndarray) -> float:
         """What the grams of this slice weigh; all grams that are scored have been counted."""
-        wanted = wanted[(wanted >= np.uint64(self.low)) & (wanted <= np.uint64(self.high))]
-        ranges = ((wanted - np.uint64(self.low)) >> np.uint64(self.shift)).astype(np.int64)
-        at, end = self.begins[ranges], self.begins[ranges + 1]
+        if self.low or self.high != (1 << 64) - 1:
+            wanted = wanted[(wanted >= np.uint64(self.low)) & (wanted <= np.uint64(self.high))] - np.uint64(self.low)
+        at = self.begins[(wanted >> np.uint64(self.shift)).astype(np.int64)]
         total = 0.0
         while len(wanted):
-            alive = at < end
-            if not alive.all():
-                raise ValueError("a gram was not counted: the texts have changed since")
             hit = self.hashes[at] == wanted
             total += float(self.logs[at[hit]].sum(dtype=np.float64))
-            wanted, at, end = wanted[~hit], at[~hit] + 1, end[~hit]
+            miss = ~hit
+            wanted, at = wanted[miss], at[miss] + 1
+            if len(wanted) and (at >= self.begins[(wanted >> np.uint64(self.shift)).astype(np.int64) + 1]).any():
+                raise ValueError("a gram was not counted: the texts have changed since")
         return total
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         whole = "".join(batch.column("gram").to_pylist()).encode("utf-32-le", "surrogatepass")
-        found = hashes(np.frombuffer(whole, np.uint32))[::ORDER] if whole else np.zeros(0, np.uint64)
+        found = hashes_of_rows(np.frombuffer(whole, np.uint32).reshape(-1, ORDER))
         yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), batch.column("probability")], names=["hash", "probability"])
 
 
