@@ -2,25 +2,25 @@
 
 Texts become hashes of ``GRAM`` words; of each ``SPREAD`` consecutive hashes the
 smallest is kept. Two texts that share WINDOW = GRAM + SPREAD - 1 words keep the
-same hash inside the shared span, so joining the kept hashes finds every window,
-and extending each hit word by word removes what only looked alike. Items shorter
-than a window are looked up whole, by hashes of their own length.
-
-The benchmark's hashes also go into a bit map of a fixed size, which is broadcast:
-only hashes it knows leave the scan of the texts, with the few words around them
-that extension needs. Texts themselves are never shuffled.
+same hash inside the shared span, so looking for the kept hashes finds every window.
+A kept hash that both have is extended to the windows it is the smallest of: only
+windows that are equal as a whole are joined, so a phrase that many texts and items share
+but nothing around it makes no rows. Items shorter than a window are looked up whole.
+
+Two bit maps of a fixed size, of the benchmark's kept hashes and of its windows, are broadcast:
+only windows that both may know leave the scan of the texts, as two hashes of 64 bits each, which
+stand for the words. Texts and words are never shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from adlake.llm.common import text_hash
 from adlake.llm.hashing import ALNUM, gram_hashes, word_hashes, word_spans
@@ -31,8 +31,7 @@ WINDOW = 10
 GRAM = 5
 SPREAD = WINDOW - GRAM + 1
 MAP_BITS = 24
-SPAN = T.StructType([T.StructField("lo", T.IntegerType()), T.StructField("hi", T.IntegerType())])
-CANDIDATES = "array<struct<pos:int,k:int,hash:bigint,lead:int,context:string>>"
+CANDIDATES = "array<struct<pos:int,k:int,gram:bigint,hash:bigint,check:bigint>>"
 
 
 def _words(texts: list[str | None]):
@@ -44,63 +43,68 @@ def _words(texts: list[str | None]):
     return folded, starts, ends, word_hashes(folded, starts, ends), np.searchsorted(begins, starts, "right") - 1
 
 
-def _kept(grams: np.ndarray, whole: np.ndarray) -> np.ndarray:
-    """Which hashes are the smallest of a window; ``whole`` says which windows lie in one text."""
-    n = len(whole)
-    kept = np.zeros(len(grams), bool)
-    if n <= 0:
-        return kept
+def _least(grams: np.ndarray, n: int) -> np.ndarray:
+    """The smallest hash of each of ``n`` windows."""
     least = grams[:n].copy()
     for j in range(1, SPREAD):
         np.minimum(least, grams[j : j + n], out=least)
-    for j in range(SPREAD):
-        kept[j : j + n] |= whole & (grams[j : j + n] == least)
-    return kept
+    return least
+
+
+def _on_map(bits: np.ndarray, found: np.ndarray) -> np.ndarray:
+    slot = (found >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
-def fingerprints(texts: list[str | None], short: tuple[int, ...], known: np.ndarray | None, own: bool = False):
-    """Number of words per text and, per text, its fingerprints with the words around them.
+def fingerprints(texts: list[str | None], short: tuple[int, ...], known: tuple[np.ndarray, np.ndarray] | None, own: bool = False):
+    """Number of words per text and, per text, its windows as (place, 0, kept hash, two hashes of the window).
 
-    ``short``: lengths looked up whole. ``known``: the bit map that others must be
-    in. ``own``: of the benchmark itself, where a short text has its whole hash only.
+    ``short``: lengths looked up whole, as (place, length, hash, both hashes). ``known``: the bit maps of
+    kept hashes and of windows that others must be in. ``own``: of the benchmark itself, where a short
+    text has its whole hash only.
     """
     found: list[list[tuple]] = [[] for _ in texts]
     folded, starts, ends, hashes, of = _words(texts)
     counts = np.bincount(of, minlength=len(texts)).astype(np.int64)
     n = len(hashes)
     at_start = np.concatenate([[0], np.cumsum(counts)])
-    jobs = [(GRAM, True), *((length, False) for length in short)]
-    for k, winnowed in jobs:
+
+    def add(where: np.ndarray, k: int, grams: np.ndarray, whole: np.ndarray, size: int) -> None:
+        for p, gram, one in zip(where.tolist(), grams.view(np.int64).tolist(), whole.view(np.int64).tolist()):
+            # Of the words' bytes themselves, so that no two words of one hash pass for each other.
+            words = b" ".join(folded[starts[i] : ends[i]].tobytes() for i in range(p, p + size))
+            check = int.from_bytes(blake2b(words, digest_size=8).digest(), "little", signed=True)
+            found[of[p]].append((p - int(at_start[of[p]]), k, gram, one, check))
+
+    if n >= WINDOW:
+        m = n - WINDOW + 1
+        least, windows = _least(gram_hashes(hashes, GRAM), m), gram_hashes(hashes, WINDOW)
+        where = np.flatnonzero(of[:m] == of[WINDOW - 1 :])
+        if known is not None:
+            where = where[_on_map(known[0], least[where])]
+            where = where[_on_map(known[1], windows[where])]
+        add(where, 0, least[where], windows[where], WINDOW)
+    for k in short:
         if n < k:
             continue
         grams = gram_hashes(hashes, k)
-        if winnowed:
-            m = max(0, n - WINDOW + 1)
-            picked = _kept(grams, of[:m] == of[WINDOW - 1 : WINDOW - 1 + m])
-        else:
-            picked = of[: len(grams)] == of[k - 1 : k - 1 + len(grams)]
-            if own:
-                picked &= counts[of[: len(grams)]] == k
-        where = np.flatnonzero(picked)
+        whole = of[: len(grams)] == of[k - 1 : k - 1 + len(grams)]
+        if own:
+            whole &= counts[of[: len(grams)]] == k
+        where = np.flatnonzero(whole)
         if known is not None:
-            slot = (grams[where] >> np.uint64(64 - MAP_BITS)).astype(np.int64)
-            where = where[(known[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1]
-        around = WINDOW - k if winnowed else 0
-        for p in where.tolist():
-            doc = of[p]
-            lo, hi = max(p - around, at_start[doc]), min(p + k + around, at_start[doc + 1])
-            context = b" ".join(folded[starts[i] : ends[i]].tobytes() for i in range(lo, hi)).decode("utf-8", "replace")
-            found[doc].append((p - int(at_start[doc]), k if not winnowed else 0, int(grams[p].view(np.int64)), int(p - lo), context))
+            where = where[_on_map(known[1], grams[where])]
+        add(where, k, grams[where], grams[where], k)
     return counts, found
 
 
 def _scan(short: tuple[int, ...], known, own: bool):
     """Batches of texts to batches of word counts and fingerprints; other columns pass through."""
-    fields = pa.struct([("pos", pa.int32()), ("k", pa.int32()), ("hash", pa.int64()), ("lead", pa.int32()), ("context", pa.string())])
+    fields = pa.struct([("pos", pa.int32()), ("k", pa.int32()), ("gram", pa.int64()), ("hash", pa.int64()), ("check", pa.int64())])
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if known is None else np.frombuffer(known.value, np.uint8)
+        bits = None if known is None else tuple(np.frombuffer(b, np.uint8) for b in known.value)
         for batch in batches:
             texts = batch.column("__text").to_pylist()
             counts, found = fingerprints(texts, short, bits, own)
@@ -114,43 +118,22 @@ def _scan(short: tuple[int, ...], known, own: bool):
     return run
 
 
-@F.pandas_udf(SPAN)
-def matched(pos: pd.Series, k: pd.Series, context: pd.Series, lead: pd.Series, other: pd.Series, other_lead: pd.Series) -> pd.DataFrame:
-    """The run of equal words around a hit, from ``lo`` to before ``hi``; NULL if it is no whole window."""
-    out = []
-    for p, size, a, i, b, j in zip(pos, k, context, lead, other, other_lead, strict=True):
-        if size:  # a short item, whole
-            out.append((p, p + size) if a == b else (None, None))
-            continue
-        a, b = a.split(" "), b.split(" ")
-        if a[i : i + GRAM] != b[j : j + GRAM]:
-            out.append((None, None))
-            continue
-        left = right = 0
-        while left < min(i, j) and a[i - left - 1] == b[j - left - 1]:
-            left += 1
-        while i + GRAM + right < len(a) and j + GRAM + right < len(b) and a[i + GRAM + right] == b[j + GRAM + right]:
-            right += 1
-        out.append((p - left, p + GRAM + right) if left + GRAM + right >= WINDOW else (None, None))
-    return pd.DataFrame(out, columns=["lo", "hi"]).astype("Int32")
-
-
 def benchmark_index(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> tuple[DataFrame, tuple[int, ...]]:
-    """Fingerprints of the items, one row for each (k, hash, words around it) with its items, and the short lengths."""
+    """The items' windows, one row for each (k, gram, hash, check) with its items, and the short lengths."""
     items = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col(text).alias("__text"))
     scanned = items.mapInArrow(
         _scan(tuple(range(1, WINDOW)), None, True), f"item string, n_words bigint, found {CANDIDATES}"
     )
     index = stage(
         scanned.select("item", F.inline("found"))
-        .groupBy("k", "hash", "lead", "context").agg(F.collect_set("item").alias("items")), "winnow-items"
+        .groupBy("k", "gram", "hash", "check").agg(F.collect_set("item").alias("items")), "winnow-items"
     )
     return index, tuple(r.k for r in index.filter("k > 0").select("k").distinct().orderBy("k").collect())
 
 
-def bit_map(index: DataFrame) -> bytes:
-    """Which leading hash bits the benchmark has: 2 ** MAP_BITS bits whatever its size."""
-    byte = F.shiftrightunsigned("hash", 64 - MAP_BITS).cast("int")
+def bit_map(index: DataFrame, column: str = "hash") -> bytes:
+    """Which leading bits the hashes of a column have: 2 ** MAP_BITS bits whatever their number."""
+    byte = F.shiftrightunsigned(column, 64 - MAP_BITS).cast("int")
     rows = index.groupBy(F.shiftright(byte, 3).alias("at")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1), byte.bitwiseAND(7))).alias("bits")
     )
@@ -174,7 +157,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", te
     """
     spark = docs.sparkSession
     index, short = benchmark_index(benchmark)
-    known = spark.sparkContext.broadcast(bit_map(index))
+    known = spark.sparkContext.broadcast((bit_map(index.filter("k = 0"), "gram"), bit_map(index)))
     narrow = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(doc).alias("doc"), text_hash(text).alias("text_hash"),
         F.col(text).alias("__text"),
@@ -187,10 +170,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", te
     )
     hits = scanned.filter(F.size("found") > 0).select("row", F.inline("found"))
     other = index.select(*(F.col(c).alias(f"item_{c}") for c in index.columns))
+    length = F.when(F.col("k") == 0, WINDOW).otherwise(F.col("k"))
+    # The items' side has one row for each key.
     ranges = (
-        join_reduced(hits, other, {"k": "item_k", "hash": "item_hash"}, "inner")
-        .withColumn("span", matched("pos", "k", "context", "lead", "item_context", "item_lead"))
-        .filter("span.lo IS NOT NULL")
+        join_reduced(hits, other, {c: f"item_{c}" for c in ("k", "gram", "hash", "check")}, "inner")
+        .withColumn("span", F.struct(F.col("pos").alias("lo"), (F.col("pos") + length).alias("hi")))
         .groupBy("row").agg(F.array_sort(F.collect_set("span")).alias("spans"), F.collect_set("item_items").alias("lists"))
     )
     start = F.struct(F.lit(0).alias("total"), F.lit(0).alias("upto"))
