@@ -102,7 +102,7 @@ def fit(lengths: Sequence[int], counts: Sequence[int], budget: int, span: int =
 
 
 def _keyed(docs: DataFrame, carried: Sequence[str], doc: str, text: str, source: str, seed: int) -> DataFrame:
-    order = F.xxhash64(F.lit(seed), F.col(f"`{doc}`"), F.length(F.col(f"`{text}`")))
+    order = F.xxhash64(F.lit(seed), F.col(f"`{doc}`"), F.col(f"`{text}`"))
     return docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"), F.col(f"`{source}`").alias("source"),
         F.coalesce(F.concat(F.lit("="), F.col(f"`{source}`")), F.lit("")).alias("source_key"),
@@ -118,8 +118,8 @@ def mix(
 
     ``size`` is the number of words; NULL and empty texts have none and are not
     taken. ``copies`` is how often the mix takes the row, 0 to MOST_REPEATS. NULL is
-    a source of its own. Rows of one source, size and hash are picked in any order,
-    being alike but for ids that repeat; otherwise reruns agree. An empty table gives
+    a source of its own. Rows of one source, id and text are picked in any order; otherwise
+    reruns agree. An empty table gives
     no row. One number per source comes to the driver.
     """
     spark = docs.sparkSession
