@@ -13,12 +13,18 @@ SECOND_SEED = 1
 
 
 def row_hashes(df: DataFrame) -> tuple[Column, Column]:
-    """Two 64-bit hashes of a row that also tell NULLs apart from neighbours' values; maps go by sorted entries."""
+    """Two 64-bit hashes of a row that also tell NULLs apart from neighbours' values.
+
+    Spark does not hash maps: they go by their entries in order, and maps inside other types by their JSON.
+    """
     parts = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
-        if "map<" in field.dataType.simpleString():
-            column = F.to_json(F.struct(F.array_sort(F.map_entries(column)))) if field.dataType.typeName() == "map" else F.to_json(F.struct(column))
+        kind = field.dataType.simpleString()
+        if kind.startswith("map<"):
+            column = F.to_json(F.array_sort(F.map_entries(column)))
+        elif "map<" in kind:
+            column = F.to_json(F.struct(column))
         parts += [column.isNull(), column]
     return F.xxhash64(*parts), F.xxhash64(F.lit(SECOND_SEED), *parts)
 

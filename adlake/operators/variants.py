@@ -45,6 +45,5 @@ def shapes(df: DataFrame, payload: str, by: Sequence[str]) -> DataFrame:
 
 def drifted(df: DataFrame, payload: str, by: Sequence[str]) -> DataFrame:
     """The groups whose shape is not the one that all groups have together."""
-    found = shapes(df, payload, by)
     whole = df.agg(F.schema_of_variant_agg(payload).alias("whole"))
-    return found.withColumn("__whole", F.lit(None).cast("string")).drop("__whole").filter(F.col("shape") != whole.scalar())
+    return shapes(df, payload, by).filter(F.col("shape") != whole.scalar())
