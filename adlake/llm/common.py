@@ -1,4 +1,4 @@
-"""What the operators share: session limits, ranks without a hot task, widened rows."""
+"""What the operators share: session limits, ranks without a hot task, text hashes."""
 
 from __future__ import annotations
 
@@ -50,13 +50,6 @@ def ranked(
     )
 
 
-def widened(row: str, columns: Sequence[str], **added: Column) -> list[Column]:
-    """The fields of a packed row, without those an added column replaces, and the added columns."""
-    names = {n.lower() for n in added}
-    kept = [F.col(f"{row}.`{c}`").alias(c) for c in columns if c.lower() not in names]
-    return kept + [c.alias(n) for n, c in added.items()]
-
-
 def text_hash(column: str = "text") -> Column:
     """64 bits that stand for a text; NULL counts as empty."""
     return F.xxhash64(F.coalesce(F.col(column), F.lit("")))
