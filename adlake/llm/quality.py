@@ -34,8 +34,10 @@ from adlake.sources.writers import stage
 ORDER = 5
 # What stands before a text's first character.
 START = "\x02"
-# Characters that are worked on at a time, and different grams that a task holds before it passes them on.
-PIECE = 1 << 20
+# Characters that are worked on at a time, in scoring and in counting, and different grams that a task holds before
+# it passes them on.
+PIECE = 1 << 18
+BLOCK = 1 << 20
 HELD_GRAMS = 1 << 21
 # So many different symbols leave a gram below 2 ** 64.
 MOST_SYMBOLS = 7000
@@ -157,7 +159,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(run) >= ORDER:
                     waiting.append(run)
                     size += len(run)
-                if size > 4 * PIECE:
+                if size > BLOCK:
                     seen, n = settled()
                     waiting, size = [], 0
                     if len(n) > HELD_GRAMS:
@@ -364,15 +366,17 @@ def scored_rows(docs: DataFrame, model: Model, columns: dict[str, Column], text:
     """``columns`` of each row with its text's ``hash`` and ``score``: the counts, ``n_grams`` and ``judged`` (log perplexity)."""
     context = docs.sparkSession.sparkContext
     named = [c.alias(n) for n, c in columns.items()]
-    first = scores(context.broadcast(model.slice(0)))
-    rows = stage(docs.select(*named, text_hash(text).alias("hash"), first(F.col(text)).alias("score")), "scores")
+    held = context.broadcast(model.slice(0))
+    rows = stage(docs.select(*named, text_hash(text).alias("hash"), scores(held)(F.col(text)).alias("score")), "scores")
+    held.unpersist()  # else every worker keeps it
     total = F.col("score.total")
     if model.slices > 1:
         parts = []
         for number in range(1, model.slices):
-            weight = weights(context.broadcast(model.slice(number)))
-            part = docs.select(text_hash(text).alias("__hash"), weight(F.col(text)).alias("__total"))
+            held = context.broadcast(model.slice(number))
+            part = docs.select(text_hash(text).alias("__hash"), weights(held)(F.col(text)).alias("__total"))
             parts.append(stage(part.groupBy("__hash").agg(F.first("__total").alias("__total")), "scores"))
+            held.unpersist()
         rest = parts[0]
         for part in parts[1:]:
             rest = rest.unionByName(part)

@@ -187,6 +187,7 @@ def test_pieces_and_full_tasks_do_not_change_counts(monkeypatch, test_docs):
         want.update(run[i : i + 5] for i in range(len(run) - 4))
     assert counted() == want
     monkeypatch.setattr(quality, "PIECE", 7)
+    monkeypatch.setattr(quality, "BLOCK", 30)
     monkeypatch.setattr(quality, "HELD_GRAMS", 50)
     assert counted() == want
 
