@@ -16,13 +16,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.common import SALTS
+from adlake.llm.common import random_number, ranked
+from adlake.operators.relational import join_reduced
 from adlake.sources.writers import stage
 
 WORDS = r"[^\x20\x09-\x0D]+"
 MOST_REPEATS = 3
 # Words the knapsack table spans; what exceeds them is filled with the longest documents first.
 SPAN = 1 << 16
+# Leading bits of a hash that documents of a length are counted by.
+RANGE_BITS = 8
 
 
 def words_in(text: Column) -> Column:
@@ -101,12 +104,43 @@ def fit(lengths: Sequence[int], counts: Sequence[int], budget: int, span: int =
     return taken
 
 
+def _last_bits_first(number: Column) -> Column:
+    """A number that sorts as the last six bits of ``number``, then as ``number`` itself: what documents are picked by."""
+    last = F.call_function("shiftleft", number.bitwiseAND(63) - 32, F.lit(58))
+    return last.bitwiseOR(F.call_function("shiftright", number, F.lit(6)) + F.lit(1 << 57))
+
+
 def _keyed(docs: DataFrame, carried: Sequence[str], doc: str, text: str, source: str, seed: int) -> DataFrame:
-    order = F.xxhash64(F.lit(seed), F.col(f"`{doc}`"), F.col(f"`{text}`"))
     return docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"), F.col(f"`{source}`").alias("source"),
         F.coalesce(F.concat(F.lit("="), F.col(f"`{source}`")), F.lit("")).alias("source_key"),
-        words_in(F.col(f"`{text}`")).alias("size"), order.alias("order"), F.pmod(order, F.lit(SALTS)).alias("salt"),
+        words_in(F.col(f"`{text}`")).alias("size"),
+        _last_bits_first(F.xxhash64(F.lit(seed), F.col(f"`{doc}`"), F.col(f"`{text}`"))).alias("order"),
+    )
+
+
+def last_picked(slim: DataFrame, counts: DataFrame, planned: DataFrame) -> DataFrame:
+    """For each source and length that gives some: ``last``, the greatest hash among those picked, ``ties``, how many
+    rows have it, and ``open``, how many of these are picked.
+
+    The counts by leading bits of the hash say in which range the last one lies; only the
+    hashes of that range are sorted, each once.
+    """
+    earlier = Window.partitionBy("source_key", "size").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    reached = counts.withColumn("before", before).join(planned, ["source_key", "size"])
+    ranges = stage(
+        reached.filter("before < picked AND picked <= before + n").select(
+            F.col("source_key").alias("__source"), F.col("size").alias("__size"), F.col("range").alias("__range"),
+            (F.col("picked") - F.col("before")).alias("need"),
+        ), "mix-ranges",
+    )
+    near = join_reduced(slim, ranges, {"source_key": "__source", "size": "__size", "range": "__range"}, "inner")
+    ties = near.groupBy("source_key", "size", "need", "order").agg(F.count(F.lit(1)).alias("ties"))
+    smaller = Window.partitionBy("source_key", "size").orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
+    found = ties.withColumn("below", F.coalesce(F.sum("ties").over(smaller), F.lit(0)))
+    return found.filter("below < need AND need <= below + ties").select(
+        "source_key", "size", F.col("order").alias("last"), "ties", (F.col("need") - F.col("below")).alias("open")
     )
 
 
@@ -121,10 +155,16 @@ def mix(
     a source of its own. Rows of one source, id and text are picked in any order; otherwise
     reruns agree. An empty table gives
     no row. One number per source comes to the driver.
+
+    Of each source and length those with the least hashes are picked, so a row is judged by
+    comparing its hash with the last one picked, and rows are not sorted. Only where some of
+    equal rows are picked and some not are these numbered.
     """
     spark = docs.sparkSession
     keyed = _keyed(docs, carried, doc, text, source, seed)
-    counts = stage(keyed.groupBy("source", "source_key", "size", "salt").agg(F.count(F.lit(1)).alias("n")), "lengths")
+    range_of = F.call_function("shiftright", F.col("order"), F.lit(64 - RANGE_BITS)).alias("range")
+    slim = stage(keyed.select("source", "source_key", "size", "order", range_of), "mix-sizes")
+    counts = stage(slim.groupBy("source", "source_key", "size", "range").agg(F.count(F.lit(1)).alias("n")), "lengths")
     sizes = {r.source: r.words or 0 for r in counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words")).collect()}
     goals = targets(sizes, weights)
     key = {s: "" if s is None else "=" + s for s in sizes}
@@ -139,20 +179,25 @@ def mix(
 
     histogram = counts.groupBy("source_key", "size").agg(F.sum("n").alias("n"))
     planned = histogram.groupBy("source_key").applyInPandas(plan, "source_key string, size bigint, repeats bigint, picked bigint")
-    earlier = Window.partitionBy("source_key", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    per_salt = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(planned, ["source_key", "size"])
     goal_rows = spark.createDataFrame(
         [(k, float(g), int(n)) for k, (g, n) in budgets.items()], "source_key string, target double, source_size bigint"
     )
-    takes = per_salt.join(goal_rows, "source_key").select(
-        "source_key", "size", "salt", "repeats", "target", "source_size",
-        F.greatest(F.lit(0), F.least(F.col("n"), F.col("picked") - F.col("before"))).alias("here"),
-    )
-    within = Window.partitionBy("source_key", "size", "salt").orderBy("order")
-    numbered = keyed.drop("source").withColumn("rank", F.row_number().over(within))
-    return numbered.join(takes, ["source_key", "size", "salt"]).select(
-        "row", "size", "source_size", "target",
-        F.when(F.col("size") > 0, F.col("repeats") + (F.col("rank") <= F.col("here")).cast("long")).otherwise(0).alias("copies"),
+    planned = stage(planned.join(goal_rows, "source_key"), "mix-plan")
+    ends = planned.drop("picked").join(last_picked(slim, counts, planned), ["source_key", "size"], "left")
+    limits = stage(ends.withColumnsRenamed({"source_key": "__source", "size": "__size"}), "mix-limits")
+    judged = join_reduced(keyed.drop("source"), limits, {"source_key": "__source", "size": "__size"}, "inner")
+    torn = F.coalesce((F.col("order") == F.col("last")) & (F.col("open") < F.col("ties")), F.lit(False))
+
+    def copies(rows: DataFrame, picked: Column) -> DataFrame:
+        more = F.when(F.col("size") > 0, F.col("repeats") + F.coalesce(picked, F.lit(False)).cast("long")).otherwise(0)
+        return rows.select("row", "size", "source_size", "target", more.alias("copies"))
+
+    if limits.filter("open < ties").isEmpty():
+        return copies(judged, F.col("order") <= F.col("last"))
+    tied = stage(judged.filter(torn).withColumn("spread", random_number()), "mix-ties")
+    numbered = ranked(tied, ["source_key", "size"], [F.col("spread")], "rank")
+    return copies(judged.filter(~torn), F.col("order") <= F.col("last")).unionByName(
+        copies(numbered, F.col("rank") < F.col("open"))
     )
 
 

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import ranked, text_hash
+from adlake.llm.common import random_number, ranked, text_hash
 from adlake.operators.relational import join_reduced
 from adlake.sources.writers import stage
 
@@ -77,8 +77,8 @@ def shard(
     share a shard (texts of equal 64-bit hash are taken for equal: they stay together
     too). Shards are as equal in bytes as whole groups allow: one group larger than a
     shard's part makes its shard the largest. ``slot`` numbers the rows of a shard
-    from 0 by id; rows equal in id and text are numbered in any order. An empty table
-    gives no row.
+    from 0, by id within parts of it; rows equal in id and text are numbered in any order.
+    An empty table gives no row.
     """
     base = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"), F.col(f"`{doc}`").alias("doc"),
@@ -96,7 +96,8 @@ def shard(
     placed = ranked(groups, ["size_class"], [F.xxhash64("group"), F.col("group")], "rank").join(plan, "size_class").select(
         "group", F.size(F.filter("ends", lambda e: e <= F.col("rank"))).alias("shard")
     )
-    assigned = stage(join_reduced(base, placed, {"key": "group"}, "inner").drop("group"), "sharded")
-    return ranked(assigned, ["shard"], [F.col("doc"), F.col("key")], "slot").select(
+    rows = join_reduced(base, placed, {"key": "group"}, "inner").drop("group")
+    assigned = stage(rows.withColumn("spread", random_number()), "sharded")
+    return ranked(assigned, ["shard"], [F.col("doc"), F.col("key")], "slot", "spread").select(
         "row", "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot")
     )

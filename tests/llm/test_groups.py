@@ -345,6 +345,43 @@ def test_ranks_are_gapless(spark):
     assert all(sorted(v) == list(range(len(v))) for v in ranks.values())
 
 
+def test_a_third_of_equal_rows_fills_no_part(spark, tmp_path):
+    rows = spark.range(30_000).select(
+        (F.col("id") % 2).alias("k"), F.when(F.col("id") < 10_000, -1).otherwise(F.col("id")).alias("v"),
+        F.xxhash64("id").alias("spread"),
+    )
+    parts = common.dealt(rows, ["k"], [F.col("v")], "spread", 500)
+    assert parts.count() == 30_000
+    most = parts.groupBy("k", "__salt", "__piece").count().agg(F.max("count")).first()[0]
+    assert most < 1000
+    found = defaultdict(list)
+    for r in common.ranked(rows, ["k"], [F.col("v")], "n", "spread", 500).collect():
+        found[r.k].append(r.n)
+    assert all(sorted(n) == list(range(15_000)) for n in found.values())
+
+
+def test_mix_picks_some_of_equal_rows(spark):
+    """One text is a third of all rows, with one id: as many of them are taken as the plan says."""
+    rows = [(i, "one two three " * (1 + i % 5), "ab"[i % 2], i) for i in range(200)]
+    rows += [(7, "the same seven words in all rows", "a", i) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mark int")
+    out = mixing.mix(docs, ["doc_id", "source", "mark"]).collect()
+    assert Counter((r.row.doc_id, r.row.mark, r.row.source) for r in out) == Counter((r[0], r[3], r[2]) for r in rows)
+    by_length, taken, size = defaultdict(list), Counter(), Counter()
+    for r in out:
+        by_length[r.row.source, r.size].append(r.copies)
+        taken[r.row.source] += r.size * r.copies
+        size[r.row.source] += r.size
+    goals = mixing.targets(dict(size))
+    for s, goal in goals.items():
+        repeats = min(3, int(goal // size[s]))
+        lengths = sorted(n for t, n in by_length if t == s)
+        picked = mixing.fit(lengths, [len(by_length[s, n]) for n in lengths], round(goal) - repeats * size[s] if repeats < 3 else 0)
+        assert {n: sum(by_length[s, n]) - repeats * len(by_length[s, n]) for n in lengths} == dict(zip(lengths, picked, strict=True))
+    torn = Counter(r.copies for r in out if r.size == 7)
+    assert len(torn) == 2 and sum(torn.values()) == 100
+
+
 # Pipeline
 
 
