@@ -185,7 +185,8 @@ def mix(
     planned = stage(planned.join(goal_rows, "source_key"), "mix-plan")
     ends = planned.drop("picked").join(last_picked(slim, counts, planned), ["source_key", "size"], "left")
     limits = stage(ends.withColumnsRenamed({"source_key": "__source", "size": "__size"}), "mix-limits")
-    judged = join_reduced(keyed.drop("source"), limits, {"source_key": "__source", "size": "__size"}, "inner")
+    # Every row has its limit; an inner join would count the words once more, to filter by them.
+    judged = join_reduced(keyed.drop("source"), limits, {"source_key": "__source", "size": "__size"}, "left")
     torn = F.coalesce((F.col("order") == F.col("last")) & (F.col("open") < F.col("ties")), F.lit(False))
 
     def copies(rows: DataFrame, picked: Column) -> DataFrame:
