@@ -401,6 +401,63 @@ def test_secret_behind_a_long_path_is_found(spark):
     assert sum(out[i].n_learned for i in range(300)) <= 15
 
 
+def learning_docs(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    base = "array<struct<start:int,kind:int,end:int>>"
+    return docs.select("doc_id", "text").mapInArrow(secrets._collect, f"doc long, base {base}, found {secrets.FOUND}")
+
+
+def test_findings_beyond_a_part_are_learned_from(spark):
+    """Constants are made look-alikes; the texts' findings say otherwise, but only those that a least-hash sample of 1500 leaves out."""
+    rng = random.Random(4)
+    key = lambda: "".join(rng.choice(KEY_LETTERS) for _ in range(36))
+    constant = lambda: "_".join(rng.choice(secrets.PLAIN_WORDS).upper() for _ in range(5))
+    tokens = [(True, key()) for _ in range(3600)] + [(False, constant()) for _ in range(3200)]
+    frame = spark.createDataFrame(tokens, "common boolean, token string")
+    kept = frame.filter((F.xxhash64(F.lit("words secret: "), "token", F.lit(" more words")) < 0) == F.col("common")).collect()
+    assert sum(r.common for r in kept) > 1500 and sum(not r.common for r in kept) > 1400
+    network = secrets.learned(learning_docs(spark, [f"words secret: {r.token} more words" for r in kept]))
+    said = secrets.passed(network, [("words secrets: ", constant(), " more words") for _ in range(50)])
+    assert np.mean(said) >= 0.9
+
+
+def test_parts_hold_every_window(spark):
+    """All windows of both labels, long tokens' too, are held out or in a part; the fewer secrets are repeated over the parts."""
+    rng = random.Random(6)
+    make = lambda n, of=KEY_LETTERS: "".join(rng.choice(of) for _ in range(n))
+    texts = [f"words secret: {make(60)} more" for _ in range(40)] + [f"the {make(7, 'abcdef')}_{make(8, 'abcdef')}_table is" for _ in range(300)]
+    collected = learning_docs(spark, texts + texts[:50] + ["", None])
+    tried, want = secrets.train([], []), set()
+    found = [c for text in texts for c in secrets.candidates(text, secrets.base_spans(text))]
+    for c, doubtful in zip(found, secrets.passed(tried, [c[2:5] for c in found]), strict=True):
+        want |= {(w, c[5]) for w in secrets.windows(*c[2:5]) if c[5] or not doubtful}
+    own = secrets.labelled_windows(collected, tried).collect()
+    assert len(want) > 300 and Counter((r.window, r.label) for r in own) == Counter(want)
+    own = secrets.held_out(spark.createDataFrame(own), len(own))
+    parts = secrets.dealt_parts(own, counts := Counter(r.label for r in own.collect()), 50).collect()
+    own = sorted(own.collect(), key=lambda r: (r.hash, r.window, r.label))
+    assert [r.held for r in own] == [i % 4 == 3 for i in range(len(own))]
+    assert len(parts) == -(-max(counts.values()) // 50)
+    dealt = Counter((w.window, w.label) for p in parts for w in p.rows)
+    assert set(dealt) == {(r.window, r.label) for r in own if not r.held}
+    fewer = counts[True] < counts[False]
+    assert {n for w, n in dealt.items() if w[1] != fewer} == {1}
+    assert {n for w, n in dealt.items() if w[1] == fewer} == {min(len(parts), len(parts) * 50 // counts[fewer])}
+
+
+def test_many_parts_learn_what_one_does(spark):
+    rng = random.Random(9)
+    make = lambda n, of=KEY_LETTERS: "".join(rng.choice(of) for _ in range(n))
+    texts = [f"words secret: {make(40)} and card {make(16, '0123456789')} more" for _ in range(200)]
+    collected = learning_docs(spark, texts).persist()
+    fresh = [f"key {make(40)} here" for _ in range(60)] + [f"card {make(16, '0123456789')} more" for _ in range(60)]
+    one, many, again = secrets.learned(collected, 1000), secrets.learned(collected, 60), secrets.learned(collected.repartition(3), 60)
+    for network in (one, many):
+        said = secrets.passed(network, [c[2:5] for t in fresh for c in secrets.candidates(t, [])])
+        assert np.mean(said[:60]) >= 0.95 and np.mean(said[60:]) <= 0.05
+    assert np.array_equal(many.kernel, again.kernel) and many.threshold == again.threshold
+
+
 def test_secrets_of_nothing(nothing):
     assert secrets.find_secrets(nothing).collect() == []
 
